@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from glyphloom.plans import evidence, factory, relational  # noqa: F401  (they register)
+from glyphloom.plans.base import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
