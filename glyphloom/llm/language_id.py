@@ -8,7 +8,8 @@ filter: every slot holds one bit for each language, and the AND of an n-gram's s
 languages that contain it at once.  A text's n-grams are counted by language; each language's count
 is corrected for the rate at which its own filter answers for n-grams it lacks, and the largest
 corrected share decides (ties: first in code-point order).  The score is that share's part of the two
-largest together.
+largest together; a text without any known n-gram gets the language with most training n-grams, scored by
+its part of them.
 
 Texts are lower-cased and everything but letters is one blank.  Neither lang nor source nor doc_id is used for a
 prediction.  Defined cases: a null text, or one without a letter, is ``und`` with score 0; without
@@ -63,6 +64,8 @@ class Model:
     filter: np.ndarray
     #: how often each language's filter says yes to an n-gram it lacks
     false_rate: np.ndarray
+    #: each language's part of all training n-grams: what decides where a text gives no evidence
+    prior: np.ndarray
 
     def hits(self, gram: np.ndarray) -> np.ndarray:
         """Languages x n-grams: does the filter hold it?"""
@@ -92,7 +95,8 @@ class Model:
         top = share[best, np.arange(len(known))]
         share[best, np.arange(len(known))] = -1
         second = np.maximum(0, share.max(axis=0)) if len(share) > 1 else np.zeros(len(known))
-        score = np.where(top > 0, top / np.maximum(top + second, 1e-12), 0.0)
+        score = np.where(top > 0, top / np.maximum(top + second, 1e-12), self.prior.max())
+        best = np.where(top > 0, best, self.prior.argmax())
         for k, b, s in zip(known, best, score, strict=True):
             names[k], scores[k] = self.languages[b], float(s)
         return names, scores
@@ -151,7 +155,7 @@ def train(labelled: DataFrame) -> Model:
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     if not languages:
-        return Model([], np.zeros((1, 1), np.uint8), np.zeros(0))
+        return Model([], np.zeros((1, 1), np.uint8), np.zeros(0), np.zeros(0))
     share = F.col("n") / F.create_map(*[x for lang, n in totals.items() for x in (F.lit(lang), F.lit(float(n)))])[F.col("lang")]
     shared = counts.withColumn("share", share).where(F.col("share") >= MIN_SHARE * MIN_RATIO)
     tops = shared.groupBy("gram").agg(F.max("share").alias("top"), F.collect_list(F.struct("lang", "share")).alias("all"))
@@ -168,7 +172,8 @@ def train(labelled: DataFrame) -> Model:
         own = gram[[lang in x for x in lists]]
         for at in _slots(own, size):
             bits[k // 64, at] |= kind(1 << k % 64)
-    model = Model(languages, bits, np.zeros(len(languages)))
+    sizes = np.array([totals[lang] for lang in languages], float)
+    model = Model(languages, bits, np.zeros(len(languages)), sizes / sizes.sum())
     # false positives: n-grams that no text gave (their top byte can't occur in UTF-8)
     probe = np.arange(1 << 16, dtype=np.uint32) | np.uint32(0xFF000000)
     model.false_rate = model.hits(probe).mean(axis=1)
