@@ -123,10 +123,10 @@ def replaced_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_type, count(*) AS n, count(json_extract_string(props, '$.page')) AS with_page, max(len(json_keys(props))) ::INTEGER AS most_keys FROM events GROUP BY event_type""")
+SELECT event_type, count(*) AS n, sum((props->>'k')::BIGINT)::BIGINT AS total, max(len(json_keys(props)))::INTEGER AS most_keys FROM events GROUP BY event_type""")
 def json_props_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count(F.get_json_object("props", "$.page")).alias("with_page"), F.max(F.size(F.json_object_keys("props"))).alias("most_keys"))
+    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.get_json_object("props", "$.k").cast("long")).alias("total"), F.max(F.size(F.json_object_keys("props"))).alias("most_keys"))
 
 
 @query("""
