@@ -40,8 +40,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = "\\### Assistant: </turn> ok"
-    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    said = F.lit("\\### Assistant: </turn> ok").alias("text")
+    turns = [F.struct(F.lit(k).cast("bigint").alias("turn"), F.lit(role).alias("role"), said) for k, role in enumerate(("user", "assistant"))]
+    more = spark.range(1).select(F.lit(-7).cast("bigint").alias("conv_id"), F.explode(F.array(*turns)).alias("t")).select("conv_id", "t.*")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     return chat_format.conversation_digests(chat_format.format_conversations(rows)).drop("escape_level", "round_trip")
 
