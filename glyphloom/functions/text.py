@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 #: Fixed value: a word starts with a letter or number and goes on with those and marks.
 WORD = r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*"
 #: Fixed value: the words that content tokens leave out.
-STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "with")
+STOP_WORDS = ("a", "an", "and", "as", "at", "by", "for", "from", "in", "of", "on", "or", "the", "to", "with", "capital", "small", "letter", "sign", "symbol", "emoji", "character")
 
 
 def words(text: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphloom.functions import text as tx
-from glyphloom.operators import dedup, graph, sampling, selection, votes
+from glyphloom.operators import claims, dedup, graph, sampling, selection, votes
 from glyphloom.plans.base import query, table
 
 
@@ -176,3 +176,52 @@ def rotating_exploration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def normalised_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 120).alias("head"))
     return names.select("doc_id", tx.normalised_term("head").alias("term"), tx.normalised_record_text("head").alias("record_text"))
+
+
+_CLAIMS = """
+c AS (
+  SELECT p_partkey AS claim_id, p_brand AS entity_id, lower(p_name) AS normalized_phrase, p_name AS phrase,
+         CASE p_size % 4 WHEN 0 THEN 'verified' WHEN 1 THEN 'proposed' WHEN 2 THEN 'platform_specific' ELSE 'contested' END AS status,
+         p_size / 50.0 AS confidence, CASE p_size % 3 WHEN 0 THEN 'identity' WHEN 1 THEN 'usage' ELSE 'visual' END AS family
+  FROM part)"""
+
+
+def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("claim_id"),
+        F.col("p_brand").alias("entity_id"),
+        F.lower("p_name").alias("normalized_phrase"),
+        F.col("p_name").alias("phrase"),
+        F.when(size % 4 == 0, "verified").when(size % 4 == 1, "proposed").when(size % 4 == 2, "platform_specific").otherwise("contested").alias("status"),
+        (size / F.lit(50.0)).alias("confidence"),
+        F.when(size % 3 == 0, "identity").when(size % 3 == 1, "usage").otherwise("visual").alias("family"),
+    )
+
+
+@query(f"""WITH {_CLAIMS}
+SELECT claim_id, row_number() OVER (PARTITION BY entity_id, normalized_phrase ORDER BY (status IN ('verified', 'platform_specific')) DESC, confidence DESC, claim_id) > 1 AS duplicate FROM c""")
+def canonical_claim_per_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return claims.canonical_claims(_claims(spark, sf_dir)).select("claim_id", "duplicate")
+
+
+@query(f"""WITH {_CLAIMS}, d AS (SELECT normalized_phrase, count(DISTINCT entity_id) AS df FROM c GROUP BY 1),
+w AS (
+  SELECT entity_id AS target_key, c.normalized_phrase AS normalized_term, phrase AS term,
+    greatest(0.25, least(1.0, confidence * CASE family WHEN 'identity' THEN 1.0 WHEN 'usage' THEN 0.93 ELSE 0.86 END * CASE WHEN status = 'platform_specific' THEN 0.82 ELSE 1.0 END / greatest(1.0, log2(df + 1)))) AS weight
+  FROM c JOIN d USING (normalized_phrase) WHERE confidence >= 0.62 AND df <= 12 AND NOT (status = 'platform_specific' AND confidence < 0.78)),
+r AS (SELECT *, row_number() OVER (PARTITION BY target_key, normalized_term ORDER BY weight DESC, term) AS r FROM w)
+SELECT target_key, normalized_term, round(weight, 6) AS weight FROM r WHERE r = 1""")
+def search_term_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _claims(spark, sf_dir).withColumns({"target_kind": F.lit("part"), "target_key": F.col("entity_id")})
+    none = own.where("false").select("target_kind", "target_key", F.col("phrase").alias("query"), F.col("confidence").alias("agreement"))
+    return claims.search_terms(own, none).select("target_key", "normalized_term", F.round("weight", 6).alias("weight"))
+
+
+@query(f"""WITH {_CLAIMS}, e AS (SELECT 'Brand#' || (n_nationkey + 1) AS entity_id FROM nation),
+n AS (SELECT e.entity_id, count(c.claim_id) AS n FROM e LEFT JOIN (SELECT * FROM c WHERE status = 'verified') c USING (entity_id) GROUP BY 1),
+s AS (SELECT list_sort(list(n)) AS v, count(*) AS k, sum(n) AS claims, count(*) FILTER (WHERE n > 0) AS covered FROM n)
+SELECT k AS entities, claims::BIGINT AS claims, covered, covered::DOUBLE / k AS coverage_rate, v[1] AS p0, v[1 + floor((k - 1) * 0.5)::INT] AS p50, v[1 + floor((k - 1) * 0.9)::INT] AS p90, v[k::INT] AS p100 FROM s""")
+def alias_coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entities = table(spark, sf_dir, "nation").select(F.concat(F.lit("Brand#"), F.col("n_nationkey") + 1).alias("entity_id"))
+    return claims.alias_report(entities, _claims(spark, sf_dir).where("status = 'verified'"))
