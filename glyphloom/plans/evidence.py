@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphloom.functions import text as tx
-from glyphloom.operators import dedup, graph, sampling, search, threads
+from glyphloom.operators import dedup, graph, retrieval, sampling, search, threads
 from glyphloom.plans.base import query, table
 
 _WORDS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}\p{{M}}]*')"
@@ -220,3 +220,20 @@ def document_frequency_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, trim(regexp_replace(translate(lower(text), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^a-z0-9]+', ' ', 'g')) AS term FROM documents""")
 def accent_fold_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.accent_folded(F.col("text")).alias("term"))
+
+
+@query(r"""
+WITH d AS (SELECT p_partkey AS entity_id, regexp_extract_all(lower(p_name || ' ' || p_type), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*') AS t FROM part WHERE p_partkey % 7 = 0),
+q AS (SELECT p_partkey AS query_id, p_partkey AS target, list_distinct(regexp_extract_all(lower(p_name), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*')) AS t FROM part WHERE p_partkey % 98 = 0),
+f AS (SELECT count(*) AS n, avg(len(t)) AS l FROM d),
+p AS (SELECT term, entity_id, count(*) AS tf, any_value(len) AS len FROM (SELECT entity_id, len(t) AS len, unnest(t) AS term FROM d) GROUP BY term, entity_id),
+i AS (SELECT term, CASE WHEN ln(((SELECT n FROM f) - count(*) + 0.5) / (count(*) + 0.5)) > 0 THEN ln(((SELECT n FROM f) - count(*) + 0.5) / (count(*) + 0.5)) ELSE 1e-6 END AS idf FROM p GROUP BY term),
+a AS (SELECT query_id, unnest(t) AS term FROM q),
+s AS (SELECT query_id, entity_id, round(-sum(idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / (SELECT l FROM f)))), 6) AS relevance FROM a JOIN p USING (term) JOIN i USING (term) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY relevance, entity_id) AS rank FROM s)
+SELECT q.query_id, r.rank::INTEGER AS rank FROM q LEFT JOIN r ON q.query_id = r.query_id AND q.target = r.entity_id AND r.rank <= 10""")
+def retrieval_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    docs = parts.where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("entity_id"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
+    asked = parts.where("p_partkey % 98 = 0").select(F.col("p_partkey").alias("query_id"), F.col("p_name").alias("query"), F.col("p_partkey").alias("target"))
+    return retrieval.target_ranks(docs, asked, stemmed=False)
