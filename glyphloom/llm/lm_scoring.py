@@ -77,11 +77,25 @@ def _block_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def _pack(x: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(x).tobytes(), codec="lz4", asbytes=True)
+    """Numbers by byte plane (all first bytes, all second bytes, ...), compressed."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpack(raw: bytes, n: int, kind) -> np.ndarray:
-    return np.frombuffer(pa.decompress(raw, n * np.dtype(kind).itemsize, codec="lz4", asbytes=True), kind)
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw, n * width, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(n)
+
+
+def _pack_codes(x: np.ndarray) -> list[bytes]:
+    """Numbers with many repeats: their distinct values, and which of them each is."""
+    value, code = np.unique(x, return_inverse=True)
+    return [value.astype(np.uint32).tobytes(), _pack(code.astype(np.uint32))]
+
+
+def _unpack_codes(value: bytes, code: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(value, np.uint32)[_unpack(code, n, np.uint32)]
 
 
 def _requests(ranges: int):
@@ -90,7 +104,7 @@ def _requests(ranges: int):
         train = np.repeat(~out, sizes)
         counts = np.bincount(np.concatenate([uni[train], bi[train]]), minlength=len(keys)).astype(np.uint32)
         edges = _edges(keys, ranges)
-        rows = [(r, key[0].as_py(), int(b - a), keys[a:b].tobytes(), _pack(counts[a:b])) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        rows = [(r, key[0].as_py(), int(b - a), _pack(np.diff(keys[a:b], prepend=U64(0))), _pack(counts[a:b])) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _REQUEST.types, strict=True)], schema=_REQUEST)
 
     return run
@@ -109,7 +123,8 @@ _REPLY = pa.schema([("block", pa.int32()), ("range", pa.int32()), ("n", pa.int32
 def _answers(key: tuple, table: pa.Table) -> pa.Table:
     """Add up the counts of a key range; one answer for each block, and the range's own totals once."""
     n = table.column("n").to_pylist()
-    keys = np.concatenate([np.frombuffer(k.as_buffer(), U64) for k in table.column("keys")])
+    # keys come as differences: sorted and even, they need a quarter less room
+    keys = np.concatenate([np.cumsum(_unpack(k.as_buffer(), m, U64), dtype=U64) for k, m in zip(table.column("keys"), n, strict=True)])
     counts = np.concatenate([_unpack(c.as_buffer(), m, np.uint32) for c, m in zip(table.column("counts"), n, strict=True)]).astype(np.float64)
     distinct, place = np.unique(keys, return_inverse=True)
     total = np.bincount(place, weights=counts).astype(np.int64)
@@ -121,8 +136,8 @@ def _answers(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _REPLY.types, strict=True)], schema=_REPLY)
 
 
-#: Kinds: 0 a document, 1 a bin of EM's histogram, 2 totals of key ranges (N in n_tokens, V in n_known).
-_COUNTED = "kind int, doc_id {}, held_out boolean, n_tokens bigint, n_known bigint, base_sum double, payload binary, bin bigint, n bigint"
+#: Kinds: 0 the documents of a block, 1 a bin of EM's histogram, 2 totals of key ranges (N in bin, V in n).
+_COUNTED = "kind int, doc_id array<{}>, held_out array<boolean>, n_tokens array<bigint>, n_known array<bigint>, base_sum array<double>, payload array<binary>, bin bigint, n bigint"
 
 
 def _bins(x: np.ndarray) -> np.ndarray:
@@ -131,12 +146,12 @@ def _bins(x: np.ndarray) -> np.ndarray:
 
 
 def _counted(kind: pa.DataType):
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_sum", pa.float64()), ("payload", pa.binary()), ("bin", pa.int64()), ("n", pa.int64())])
+    lists = [("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_sum", pa.float64()), ("payload", pa.binary())]
+    schema = pa.schema([("kind", pa.int32()), *((c, pa.list_(t)) for c, t in lists), ("bin", pa.int64()), ("n", pa.int64())])
 
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        facts = [sum(replies.column(c).to_pylist()) for c in ("tokens", "kinds")]
         keys, uni, bi, sizes, out = _block_keys(docs)
         order = np.argsort(replies.column("range").to_numpy())
         parts = [_unpack(replies.column("counts")[int(k)].as_buffer(), replies.column("n")[int(k)].as_py(), np.uint32) for k in order]
@@ -148,8 +163,6 @@ def _counted(kind: pa.DataType):
         begins = ends - sizes
         known = np.add.reduceat((c_w > 0).astype(np.int64), begins)
         base = np.add.reduceat(np.log10(c_w + 0.5), begins)
-        both = np.stack([c_w, c_hw]).astype(np.uint32)
-        payload = [pa.compress(np.ascontiguousarray(both[:, a:b]).tobytes(), codec="zstd", asbytes=True) for a, b in zip(begins, ends, strict=True)]
         # the context of a token is the token before it; a text's first has the begin, as frequent as the end
         c_h = np.empty(len(c_w), np.int64)
         c_h[1:] = c_w[:-1]
@@ -157,19 +170,15 @@ def _counted(kind: pa.DataType):
         train = np.repeat(~out, sizes)
         code = em_code(c_hw[train] - 1, c_h[train] - 1, c_w[train] - 1)
         value, n = np.unique(code, return_counts=True)
-        rows, more = len(sizes), len(value)
-        void = lambda t, m: pa.nulls(m, t)
+        more = len(value) + 1
+        whole = [docs.column("doc_id").to_pylist(), out.tolist(), sizes.tolist(), known.tolist(), base.tolist(), [*_pack_codes(c_w), *_pack_codes(c_hw)]]
+        tokens, kinds = (sum(replies.column(c).to_pylist()) for c in ("tokens", "kinds"))
         return pa.Table.from_arrays(
             [
-                pa.array(np.repeat([0, 1, 2], [rows, more, 1]), pa.int32()),
-                pa.concat_arrays([docs.column("doc_id").combine_chunks(), void(kind, more + 1)]),
-                pa.concat_arrays([pa.array(out), void(pa.bool_(), more + 1)]),
-                pa.concat_arrays([pa.array(sizes), void(pa.int64(), more), pa.array(facts[:1], pa.int64())]),
-                pa.concat_arrays([pa.array(known), void(pa.int64(), more), pa.array(facts[1:], pa.int64())]),
-                pa.concat_arrays([pa.array(base), void(pa.float64(), more + 1)]),
-                pa.concat_arrays([pa.array(payload, pa.binary()), void(pa.binary(), more + 1)]),
-                pa.concat_arrays([void(pa.int64(), rows), pa.array(value), void(pa.int64(), 1)]),
-                pa.concat_arrays([void(pa.int64(), rows), pa.array(n.astype(np.int64)), void(pa.int64(), 1)]),
+                pa.array([0, *[1] * len(value), 2], pa.int32()),
+                *(pa.array([x, *[None] * more], schema.field(c).type) for (c, _), x in zip(lists, whole, strict=True)),
+                pa.array([None, *value.tolist(), tokens], pa.int64()),
+                pa.array([None, *n.tolist(), kinds], pa.int64()),
             ],
             schema=schema,
         )
@@ -195,11 +204,14 @@ class Model:
     #: BUCKETS x 3: weights of the bigram, unigram and uniform estimates
     weights: np.ndarray
 
-    def log10(self, c_w: np.ndarray, c_hw: np.ndarray) -> float:
-        c_h = np.concatenate([c_w[-1:], c_w[:-1]])
+    def log10(self, c_w: np.ndarray, c_hw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Scores of texts whose tokens stand in a row."""
+        c_h = np.empty(len(c_w))
+        c_h[1:] = c_w[:-1]
+        c_h[begins] = c_w[ends - 1]
         w = self.weights[bucket(c_h)]
         p = w[:, 0] * c_hw / np.maximum(c_h, 1) + w[:, 1] * c_w / max(self.tokens, 1) + w[:, 2] / (self.kinds + 1)
-        return float(np.log10(p).sum())
+        return np.add.reduceat(np.log10(p), begins)
 
 
 def learn_weights(code: np.ndarray, n: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
@@ -218,7 +230,7 @@ def learn_weights(code: np.ndarray, n: np.ndarray, tokens: int, kinds: int) -> n
         part = weights[own] * p
         part *= (n / part.sum(axis=1))[:, None]
         new = np.stack([np.bincount(own, weights=part[:, k], minlength=BUCKETS) for k in range(3)], axis=1)
-        new += np.array([0.0, 0.5, 0.5])  # no bucket gives up the estimates that cover unseen words
+        new = new + np.array([0.0, 0.5, 0.5])  # no bucket gives up the estimates that cover unseen words
         weights = new / new.sum(axis=1, keepdims=True)
     weights[0] = [0, weights[0][1], weights[0][2]]
     weights[0] /= weights[0].sum()
@@ -238,21 +250,32 @@ def score_documents(docs: DataFrame) -> DataFrame:
     arrow_kind = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
     counted = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_counted(arrow_kind), _COUNTED.format(kind))
     counted = stored(counted, "lm-counts")
-    facts = counted.where(F.col("kind") == 2).agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("n_known"), F.lit(0)).alias("kinds")).first()
+    facts = counted.where(F.col("kind") == 2).agg(F.coalesce(F.sum("bin"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("n"), F.lit(0)).alias("kinds")).first()
     histogram = counted.where(F.col("kind") == 1).groupBy("bin").agg(F.sum("n").alias("n")).orderBy("bin").toArrow()
     code, n = histogram.column("bin").to_numpy(), histogram.column("n").to_numpy().astype(float)
     tokens, kinds = facts["tokens"], facts["kinds"]
     model = Model(tokens, kinds, learn_weights(code, n, tokens, kinds))
 
+    base = float(np.log10(tokens + 0.5 * (kinds + 1)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            scores = []
-            for raw, m in zip(b.column(5), b.column(2).to_pylist(), strict=True):
-                both = np.frombuffer(pa.decompress(raw.as_buffer(), 8 * m, codec="zstd", asbytes=True), np.uint32).astype(np.float64)
-                scores.append(model.log10(both[:m], both[m:]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(scores, pa.float64())], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    base = F.col("base_sum") - F.col("n_tokens") * F.lit(float(np.log10(tokens + 0.5 * (kinds + 1))))
-    rows = counted.where(F.col("kind") == 0).select("doc_id", "held_out", "n_tokens", "n_known", base.alias("base_score"), "payload")
+        for batch in batches:
+            for row in batch.to_pylist():
+                sizes = np.array(row["n_tokens"], np.int64)
+                ends, payload = np.cumsum(sizes), row["payload"]
+                c_w, c_hw = (_unpack_codes(*payload[k : k + 2], int(ends[-1])).astype(np.float64) for k in (0, 2))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row["doc_id"], arrow_kind),
+                        pa.array(row["held_out"], pa.bool_()),
+                        pa.array(sizes),
+                        pa.array(row["n_known"], pa.int64()),
+                        pa.array(np.array(row["base_sum"]) - sizes * base),
+                        pa.array(model.log10(c_w, c_hw, ends - sizes, ends)),
+                    ],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+                )
+
+    rows = counted.where(F.col("kind") == 0).select("doc_id", "held_out", "n_tokens", "n_known", "base_sum", "payload")
     scored = rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
