@@ -139,7 +139,7 @@ def test_top_k_is_exact(spark, monkeypatch, blocks):
     rng = np.random.default_rng(2)
     vectors = [(int(k), [float(x) for x in np.round(rng.normal(size=6), 1)]) for k in range(230)]
     vectors += [(k, vectors[k % 3][1]) for k in range(300, 330)]  # ties
-    odd = [(50, None), (400, [1.0, None, 0, 0, 0, 0]), (450, [float("nan")] * 6), (500, [float("inf")] * 6), (None, [1.0] * 6), (550, [1.0, 2.0]), (551, [3.0, -1.0]), vectors[0], vectors[7]]
+    odd = [(50, None), (400, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (450, [float("nan")] * 6), (500, [float("inf")] * 6), (None, [1.0] * 6), (550, [1.0, 2.0]), (551, [3.0, -1.0]), vectors[0], vectors[7]]
     df = spark.createDataFrame([(i, v, 1) for i, v in vectors + odd], "vec_id bigint, embedding array<double>, score int")
     got = sorted(map(tuple, topk_search.top_k(df, lambda v: v % 50 == 0).collect()))
     quantised = {i: [math.floor(256 * x) for x in v] for i, v in vectors} | {550: [256, 512], 551: [768, -256]}

@@ -239,3 +239,12 @@ def test_odd_sketches_tell_high_similarities():
             inside.append(int(np.unpackbits(odd[0] ^ odd[1]).sum()))
         assert abs(np.mean(inside) - near_dedup.expected_xor(similarity)) < 8
         assert max(inside) <= near_dedup.most_xor(80)
+
+
+def test_components_of_paths_and_stars(spark):
+    from glyphloom.llm.components import components
+
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 201), (201, 200), (202, 202), (129, 300), (300, 301)]
+    got = {r["u"]: r["component"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {100 + k: 100 for k in range(1, 30)} | {201: 200, 300: 100, 301: 100}
+    assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
