@@ -1,18 +1,22 @@
 """MinHash near-duplicate detection with odd sketches, confirmed on full shingle sets.
 
 1. One pass over the texts: the distinct shingles of each document, a key of the whole set, ``HASHES`` MinHash
-   values, folded into ``BANDS`` band keys and into an odd sketch (the parity bitmap of the hashed samples).
+   values, folded into ``BANDS`` band keys and into an odd sketch (the parity bitmap of the hashed samples),
+   and a second odd sketch of the shingles themselves.
 2. Equal sets are one node, whatever their number.  Nodes that share a band key meet: every node of a bucket
-   with the bucket's leader (its smallest key).  The population count of the XOR of two odd sketches
-   bounds the similarity; clearly dissimilar pairs stop here, the rest are confirmed on the full sets of
-   both texts.  Confirmed links give first components.
+   with the bucket's leader, the one that shares most buckets.  The XOR of two odd sketches bounds
+   the similarity; pairs that can't reach the threshold stop here, the rest are confirmed on the full
+   sets of both texts.  Confirmed links give first components.
 3. Buckets that still span several components: all pairs across components are compared by their sketches,
    inside the task, in cells of bounded size (a large bucket is divided into chunks, every two of which
    meet in a cell), and only pairs that pass leave it, to be confirmed as before.  So a link is never
    lost for want of a leader, and no group's pairs are emitted.
 
-The chance that a pair at the threshold shares no band is 1.2e-7 with 40 bands of 5, that the sketch
-turns it away below 1e-6.  A leader with many partners is salted: at most ``FANOUT`` partners per task key.
+The population count of the XOR of the shingles' sketches never exceeds the number of shingles in which two
+sets differ, so that bound loses nothing, and for sets of up to some thousand shingles it is nearly exact;
+for longer texts the samples' sketch decides, at five deviations.  The chance that a pair at the threshold
+shares no band is 1.2e-7 with 40 bands of 5.  A leader with many partners is salted: at most ``FANOUT``
+partners per task key.
 
 Defined cases: A-Z is lower-cased; a text with fewer words than the width is one shingle; a null or blank
 text has no shingles and links with nothing; repeated rows are one node; null ids never name a component unless
@@ -36,6 +40,8 @@ from glyphloom.llm.components import components
 BANDS, ROWS = 40, 5
 HASHES = BANDS * ROWS
 SKETCH_BITS = 512
+#: Bits of the sketch of the shingles themselves.
+SET_BITS = 2048
 FANOUT = 500
 CELL = 1024
 _MULTIPLY = (mix(np.arange(1, HASHES + 1).astype(U64)) | U64(1)).astype(np.uint32)
@@ -85,8 +91,24 @@ def odd_sketch(sample: np.ndarray) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8), axis=1)
 
 
-def _set_key(values: np.ndarray) -> str:
-    return hashlib.blake2b(values.tobytes(), digest_size=16).hexdigest()
+def set_sketch(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Rows x SET_BITS / 8 bytes: the parity of the shingles that fall on each bit."""
+    place = np.repeat(np.arange(len(counts)), counts) * SET_BITS + (values % U64(SET_BITS)).astype(np.int64)
+    out = []
+    for a in range(0, len(counts), 256):
+        own = place[(place >= a * SET_BITS) & (place < (a + 256) * SET_BITS)] - a * SET_BITS if len(counts) > 256 else place
+        rows = min(256, len(counts) - a)
+        out.append(np.packbits((np.bincount(own, minlength=rows * SET_BITS) & 1).astype(np.uint8).reshape(rows, SET_BITS), axis=1))
+    return np.concatenate(out)
+
+
+def _set_key(values: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+
+
+def _merge(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A sort-merge join at every size: the plan of a small input is that of a large one, and large keys can be split."""
+    return left.join(right.hint("merge"), on, how)
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
@@ -104,21 +126,22 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 if len(full):
                     sample = samples(values, n[full])
                     ends = np.cumsum(n)
-                    band, odd = band_keys(sample).tolist(), odd_sketch(sample)
+                    band, odd = band_keys(sample).tolist(), np.hstack([odd_sketch(sample), set_sketch(values, n[full])])
                     for k, row in enumerate(full):
                         keys[row] = _set_key(values[ends[row] - n[row] : ends[row]])
                         bands[row], sketch[row] = band[k], odd[k].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                     names=["doc_id", "n_shingles", "set_key", "bands", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key string, bands array<bigint>, sketch binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, bands array<bigint>, sketch binary")
 
 
-def _xor(a: str, b: str):
-    """Differing bits of two sketch columns (as eight longs each)."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+def _xor(a: str, b: str, first: int, count: int):
+    """Differing bits of a part of two sketch columns, given as longs."""
+    both = F.zip_with(F.slice(a, first, count), F.slice(b, first, count), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(both, F.lit(0), lambda s, x: s + x)
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -126,22 +149,24 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     limit = most_xor(percent)
     of = nodes.select("set_key", "n", "sketch", "doc")
     # a quick look at the sketches and sizes first
+    one = of.select(F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"), F.col("doc").alias("d_a"))
+    two = of.select(F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"), F.col("doc").alias("d_b"))
     near = (
-        pairs.join(of.select(F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"), F.col("doc").alias("d_a")), "a")
-        .join(of.select(F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"), F.col("doc").alias("d_b")), "b")
+        _merge(_merge(pairs, one, "a"), two, "b")
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .where(_xor("s_a", "s_b") <= limit)
+        .where(_xor("s_a", "s_b", 1, SKETCH_BITS // 64) <= limit)
+        .where(_xor("s_a", "s_b", SKETCH_BITS // 64 + 1, SET_BITS // 64) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
         .select("a", "b", "d_a", "d_b")
     )
     near = stored(near, "near-pairs")
     wanted = near.select(F.col("a").alias("set_key"), F.col("d_a").alias("doc")).unionByName(near.select(F.col("b").alias("set_key"), F.col("d_b").alias("doc"))).distinct()
     # an id may stand on several rows; the set's own key tells which text is meant
     rows = docs.select(F.col("doc_id").alias("_id"), "text")
-    texts = wanted.join(rows, F.col("doc").eqNullSafe(F.col("_id"))).select("set_key", "text")
+    texts = wanted.join(rows.hint("merge"), F.col("doc").eqNullSafe(F.col("_id"))).select("set_key", "text")
     fan = near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FANOUT).cast("int").alias("_salts"))
     salt = F.pmod(F.xxhash64("a"), F.col("_salts")).cast("int").alias("salt")
-    partners = near.select("a", "b").join(fan, "b").select("b", salt, "a").join(texts.select(F.col("set_key").alias("a"), "text"), "a").select("b", "salt", F.lit(1).alias("kind"), "a", "text")
-    leaders = fan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).join(texts.select(F.col("set_key").alias("b"), "text"), "b").select("b", "salt", F.lit(0).alias("kind"), F.col("b").alias("a"), "text")
+    partners = _merge(_merge(near.select("a", "b"), fan, "b").select("b", salt, "a"), texts.select(F.col("set_key").alias("a"), "text"), "a").select("b", "salt", F.lit(1).alias("kind"), "a", "text")
+    leaders = _merge(fan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))), texts.select(F.col("set_key").alias("b"), "text"), "b").select("b", "salt", F.lit(0).alias("kind"), F.col("b").alias("a"), "text")
     both = leaders.unionByName(partners).repartition("b", "salt").sortWithinPartitions("b", "salt", "kind", "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,27 +192,28 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
                     if 100 * shared >= percent * (len(own) + len(mine) - shared):
                         found[0].append(a_keys[row])
                         found[1].append(owner)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.string()), pa.array(found[1], pa.string())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())], names=["a", "b"])
 
-    return both.mapInArrow(run, "a string, b string")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
-def _across(banded: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
+def _across(live: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a bucket and may be similar by their sketches."""
     limit = most_xor(percent)
-    member = banded.join(joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
-    open_ = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where((F.col("m") > 2) & (F.col("lo") != F.col("hi")))
+    member = _merge(live.select("set_key", "bucket", "m").where("m > 2"), joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    open_ = member.groupBy("bucket").agg(F.first("m").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi"))
     chunks = F.ceil(F.col("m") / CELL).cast("int")
-    placed = member.join(open_.select("bucket", chunks.alias("g")), "bucket").withColumn("i", F.pmod(F.xxhash64("set_key"), F.col("g")).cast("int"))
+    placed = _merge(member.drop("m"), open_.select("bucket", chunks.alias("g")), "bucket").withColumn("i", F.pmod(F.xxhash64("set_key"), F.col("g")).cast("int"))
     # every two chunks meet in one cell
     cells = placed.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
     cells = cells.select("bucket", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "i", "set_key", "component")
-    full = cells.join(nodes.select("set_key", "n", F.col("raw").alias("sketch")), "set_key").select("bucket", "x", "y", "i", "set_key", "component", "n", "sketch")
+    full = _merge(cells, nodes.select("set_key", "n", F.col("raw").alias("sketch")), "set_key").select("bucket", "x", "y", "i", "set_key", "component", "n", "sketch")
     dealt = full.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
 
     def pairs(rows: list[tuple]) -> tuple[list, list]:
         _, x, y, i, key, comp, n, sketch = (list(c) for c in zip(*rows, strict=True))
         bits = np.frombuffer(b"".join(sketch), np.uint64).reshape(len(rows), -1)
+        head = SKETCH_BITS // 64
         i, n, x, y = np.array(i), np.array(n), x[0], y[0]
         _, comp = np.unique(comp, return_inverse=True)
         a_keys, b_keys = [], []
@@ -199,7 +225,10 @@ def _across(banded: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int
             ok &= 100 * np.minimum(n[rest], n[k]) >= percent * np.maximum(n[rest], n[k])
             at = np.flatnonzero(ok) + k + 1
             if len(at):
-                at = at[np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1) <= limit]
+                differ = np.bitwise_count(bits[at] ^ bits[k])
+                # 100 x shared >= percent x all, in terms of the sizes and of the difference
+                near = differ[:, head:].sum(axis=1, dtype=np.int64) * (100 + percent) <= (n[at] + n[k]) * (100 - percent)
+                at = at[near & (differ[:, :head].sum(axis=1) <= limit)]
             for p in at:
                 a, b = sorted((key[k], key[p]))
                 a_keys.append(b)
@@ -213,41 +242,44 @@ def _across(banded: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int
                 if row[:3] != now:
                     if len(rows) > 1:
                         a, b = pairs(rows)
-                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+                        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
                     now, rows = row[:3], []
                 rows.append(row)
         if len(rows) > 1:
             a, b = pairs(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a string, b string").distinct()
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     signed = stored(signatures(docs, width), "near-sets")
-    longs = F.transform(F.sequence(F.lit(0), F.lit(SKETCH_BITS // 64 - 1)), lambda k: F.conv(F.substring(F.hex("sketch"), k * 16 + 1, F.lit(16)), 16, -10).cast("long"))
+    longs = F.transform(F.sequence(F.lit(0), F.lit((SKETCH_BITS + SET_BITS) // 64 - 1)), lambda k: F.conv(F.substring(F.hex("sketch"), k * 16 + 1, F.lit(16)), 16, -10).cast("long"))
     grouped = signed.where(F.col("n_shingles") > 0).groupBy("set_key").agg(
         F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     nodes = stored(grouped.select("set_key", "doc", "n", "bands", F.col("sketch").alias("raw"), longs.alias("sketch")), "near-nodes")
     banded = nodes.select("set_key", F.explode("bands").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("set_key").alias("b")).where(F.col("m") > 1)
-    stars = banded.join(buckets, "bucket").where(F.col("set_key") != F.col("b")).select(F.col("set_key").alias("a"), "b").distinct()
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    live = stored(_merge(banded, shared, "bucket"), "near-live")
+    # the node that shares most buckets is nearest to the middle of its group
+    weight = live.groupBy("set_key").agg(F.sum("m").alias("w"))
+    leaders = _merge(live, weight, "set_key").groupBy("bucket").agg(F.max(F.struct("w", "set_key")).alias("top")).select("bucket", F.col("top.set_key").alias("b"))
+    stars = _merge(live, leaders, "bucket").where(F.col("set_key") != F.col("b")).select(F.col("set_key").alias("a"), "b").distinct()
     links = stored(_confirmed(stars, nodes, docs, width, percent), "near-links")
     edges = lambda x: x.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    first = stored(components(edges(links)), "near-first").withColumnRenamed("u", "set_key")
-    across = stored(_across(banded, nodes, first, percent), "near-across")
+    first = stored(components(edges(links)), "near-first")
+    joined = first.withColumnRenamed("u", "set_key")
+    across = stored(_across(live, nodes, joined, percent), "near-across")
     more = stored(_confirmed(across, nodes, docs, width, percent), "near-more")
-    if more.isEmpty():
-        final = first
-    else:
-        final = components(edges(links).unionByName(edges(more))).withColumnRenamed("u", "set_key")
-    owned = nodes.select("set_key", "doc").join(final, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    if not more.isEmpty():
+        joined = components(first.select("u", F.col("component").alias("v")).unionByName(edges(more))).withColumnRenamed("u", "set_key")
+    owned = _merge(nodes.select("set_key", "doc"), joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
     named = owned.groupBy("component").agg(F.min("doc").alias("component_id"))
-    of_set = owned.join(named, "component").select("set_key", "component_id")
-    rows = signed.select("doc_id", "n_shingles", "set_key").join(of_set, "set_key", "left")
+    of_set = _merge(owned, named, "component").select("set_key", "component_id")
+    rows = _merge(signed.select("doc_id", "n_shingles", "set_key"), of_set, "set_key", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
