@@ -174,8 +174,7 @@ def rotating_exploration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def normalised_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 120).alias("head"))
-    return names.select("doc_id", tx.normalised_term("head").alias("term"), tx.normalised_record_text("head").alias("record_text"))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.normalised_term("text").alias("term"), tx.normalised_record_text("text").alias("record_text"))
 
 
 _CLAIMS = """
