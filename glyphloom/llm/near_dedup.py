@@ -111,10 +111,11 @@ def _merge(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> Da
     return left.join(right.hint("merge"), on, how)
 
 
-def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_key, bands, sketch of every row; the last three null without shingles."""
+def signatures(docs: DataFrame, width: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, set_key, bands, sketch of every row, the last three null without shingles; and the columns ``more``."""
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,11 +132,11 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                         keys[row] = _set_key(values[ends[row] - n[row] : ends[row]])
                         bands[row], sketch[row] = band[k], odd[k].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_key", "bands", "sketch"],
+                    [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), *(x.slice(a, b - a) for x in batch.columns[2:])],
+                    names=["doc_id", "n_shingles", "set_key", "bands", "sketch", *more],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, bands array<bigint>, sketch binary")
+    return docs.select("doc_id", "text", *more).mapInArrow(run, f"doc_id {kind}, n_shingles bigint, set_key binary, bands array<bigint>, sketch binary{kinds}")
 
 
 def _xor(a: str, b: str, first: int, count: int):
@@ -252,15 +253,17 @@ def _across(live: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int)
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
+def _linked(docs: DataFrame, width: int, percent: int, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows; and (set_key, doc, component) of every set, with ``first``, the first row by id and ``more``, if given."""
+    signed = stored(signatures(docs, width, more), "near-sets")
     docs = docs.select("doc_id", "text")
-    signed = stored(signatures(docs, width), "near-sets")
+    first_row = [F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", *more)).alias("first")] if more else []
+    carried = ["first"] if more else []
     longs = F.transform(F.sequence(F.lit(0), F.lit((SKETCH_BITS + SET_BITS) // 64 - 1)), lambda k: F.conv(F.substring(F.hex("sketch"), k * 16 + 1, F.lit(16)), 16, -10).cast("long"))
     grouped = signed.where(F.col("n_shingles") > 0).groupBy("set_key").agg(
-        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), *first_row
     )
-    nodes = stored(grouped.select("set_key", "doc", "n", "bands", F.col("sketch").alias("raw"), longs.alias("sketch")), "near-nodes")
+    nodes = stored(grouped.select("set_key", "doc", "n", "bands", F.col("sketch").alias("raw"), longs.alias("sketch"), *carried), "near-nodes")
     banded = nodes.select("set_key", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     live = stored(_merge(banded, shared, "bucket"), "near-live")
@@ -276,7 +279,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     more = stored(_confirmed(across, nodes, docs, width, percent), "near-more")
     if not more.isEmpty():
         joined = components(first.select("u", F.col("component").alias("v")).unionByName(edges(more))).withColumnRenamed("u", "set_key")
-    owned = _merge(nodes.select("set_key", "doc"), joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    return signed, _merge(nodes.select("set_key", "doc", *carried), joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
+    signed, owned = _linked(docs, width, percent)
     named = owned.groupBy("component").agg(F.min("doc").alias("component_id"))
     of_set = _merge(owned, named, "component").select("set_key", "component_id")
     rows = _merge(signed.select("doc_id", "n_shingles", "set_key"), of_set, "set_key", "left")
@@ -285,10 +293,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that near-duplicate detection keeps; of repeated rows of an id, one."""
-    found = near_duplicates(docs, width, percent).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    found = stored(found, "near-kept").withColumnRenamed("doc_id", "_kept_id")
-    own = docs.join(found, docs["doc_id"].eqNullSafe(F.col("_kept_id")))
-    single = own.where(F.col("_rows") == 1).select(*[docs[c] for c in docs.columns])
-    several = own.where(F.col("_rows") > 1).select(*[docs[c] for c in docs.columns])
-    return single.unionByName(several.dropDuplicates(["doc_id"])) if not found.where(F.col("_rows") > 1).isEmpty() else single
+    """One row of ``docs`` for each component, whatever its ids, and the rows without shingles; of repeated rows of an id, one.
+
+    A row is told by its id and its text's digest: an id may be null or stand on several texts.  Rows without id
+    and shingles are not known to be the same, so all of them stay.
+    """
+    keyed = docs.withColumn("_text_key", F.sha2(F.col("text").cast("binary"), 256))
+    signed, owned = _linked(keyed, width, percent, ("_text_key",))
+    firsts = owned.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept_id"), F.col("first._text_key").alias("_kept_key"))
+    blank = signed.where("n_shingles = 0").select(F.col("doc_id").alias("_kept_id"), F.col("_text_key").alias("_kept_key"), F.col("doc_id").isNull().alias("_all")).distinct()
+    repeated = signed.groupBy(F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    kept = firsts.withColumn("_all", F.lit(False)).unionByName(blank)
+    kept = kept.join(repeated.hint("merge"), F.col("_kept_id").eqNullSafe(F.col("_id")) & F.col("_kept_key").eqNullSafe(F.col("_key")), "left")
+    found = stored(kept.select("_kept_id", "_kept_key", (F.col("_rows").isNotNull() & ~F.col("_all")).alias("_several")), "near-kept")
+    own = keyed.join(found, keyed["doc_id"].eqNullSafe(F.col("_kept_id")) & keyed["_text_key"].eqNullSafe(F.col("_kept_key")))
+    single = own.where(~F.col("_several")).select(*[keyed[c] for c in docs.columns])
+    if found.where("_several").isEmpty():
+        return single
+    several = own.where("_several").dropDuplicates(["_kept_id", "_kept_key"]).select(*[keyed[c] for c in docs.columns])
+    return single.unionByName(several)
