@@ -16,6 +16,9 @@ from glyphloom.llm.queries import tokenizer_path
 
 #: A language is believed from this score on.
 MIN_LANGUAGE_SCORE = 0.5
+#: And only with this share of its n-grams in the text, and this margin over the second language's share: text in no known
+#: language has next to no share, an even mixture no margin.
+MIN_LANGUAGE_SHARE, MIN_LANGUAGE_MARGIN = 0.25, 0.1
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +27,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.identify(docs, tuple(docs.columns))
-    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    found = language_id.identify(docs, tuple(docs.columns), evidence=True)
+    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE) & (F.col("_share") >= MIN_LANGUAGE_SHARE) & (F.col("_margin") >= MIN_LANGUAGE_MARGIN)
     return found.where(sure).select(*docs.columns)
 
 

@@ -78,15 +78,16 @@ class Model:
             out += [both >> word.dtype.type(b) & word.dtype.type(1) != 0 for b in range(min(64, len(self.languages) - first))]
         return np.array(out)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[float]]:
+        """Language, score, and the absolute evidence: the best language's corrected share of the n-grams and its margin over the second's."""
+        names, scores, shares, margins = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         known, parts = [], []
         for k, text in enumerate(texts):
             if text is not None and self.languages and has_letter(text):
                 known.append(k)
                 parts.append(grams(normalised(text)))
         if not known:
-            return names, scores
+            return names, scores, shares, margins
         sizes = np.array([len(p) for p in parts])
         begins = np.cumsum(sizes) - sizes
         counts = np.add.reduceat(self.hits(np.concatenate(parts)).astype(np.int64), begins, axis=1)
@@ -97,9 +98,9 @@ class Model:
         second = np.maximum(0, share.max(axis=0)) if len(share) > 1 else np.zeros(len(known))
         score = np.where(top > 0, top / np.maximum(top + second, 1e-12), self.prior.max())
         best = np.where(top > 0, best, self.prior.argmax())
-        for k, b, s in zip(known, best, score, strict=True):
-            names[k], scores[k] = self.languages[b], float(s)
-        return names, scores
+        for k, b, s, t, m in zip(known, best, score, top, top - second, strict=True):
+            names[k], scores[k], shares[k], margins[k] = self.languages[b], float(s), float(t), float(m)
+        return names, scores, shares, margins
 
 
 def has_letter(text: str) -> bool:
@@ -184,11 +185,12 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of every row with lang_pred and score."""
+def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), evidence: bool = False) -> DataFrame:
+    """``columns`` of every row with lang_pred and score; with ``evidence``, also _share and _margin."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
+    told = ["score", "_share", "_margin"] if evidence else ["score"]
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,23 +198,24 @@ def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             names: list[str] = []
-            scores: list[float] = []
+            numbers: tuple[list[float], ...] = ([], [], [])
             a = 0
             while a < len(texts):
                 b, chars = a, 0
                 while b < len(texts) and (b == a or chars + len(texts[b] or "") <= _GROUP_CHARS):
                     chars += len(texts[b] or "")
                     b += 1
-                n, s = m.predict(texts[a:b])
+                n, *found = m.predict(texts[a:b])
                 names += n
-                scores += s
+                for have, new in zip(numbers, found, strict=True):
+                    have += new
                 a = b
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*columns, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), *(pa.array(x, pa.float64()) for x in numbers[: len(told)])], names=[*columns, "lang_pred", *told])
 
-    return docs.select(*columns, F.col("text").alias("_text")).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.select(*columns, F.col("text").alias("_text")).mapInArrow(run, f"{schema}, lang_pred string, {', '.join(f'{c} double' for c in told)}")
 
 
-def identify(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), evidence: bool = False) -> DataFrame:
     """Train on the rows that aren't held out, predict all of them."""
     model = train(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
-    return predict(docs, model, columns)
+    return predict(docs, model, columns, evidence)

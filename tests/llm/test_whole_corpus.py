@@ -19,3 +19,16 @@ def test_one_of_each_decides_by_row(spark):
     got = sorted(((r["doc_id"], r["text"]) for r in near_dedup.one_of_each(docs).collect()), key=str)
     want = [(None, _words(2)), (None, _words(3)), (None, _words(4)), (7, _words(5)), (7, _words(6)), (1, _words(1)), (2, _words(7)), (3, ""), (None, None), (None, None)]
     assert got == sorted(want, key=str)
+
+
+def test_language_stage_rejects_text_without_evidence(spark):
+    import corpus_pipeline
+
+    rng = random.Random(1)
+    german, english = "der Hund und die Katze gehen in den Garten ", "the dog and the cat are walking through the green garden "
+    junk = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(6)) for _ in range(80))
+    rows = [(k, german * 9, "de") for k in range(10)] + [(k, english * 40, "en") for k in range(10, 20)]
+    rows += [(20, junk, None), (21, "Это предложение на другом языке", None), (22, german * 9 + english * 7, None), (23, german * 2, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").collect()}
+    assert got == {*range(20), 23}
