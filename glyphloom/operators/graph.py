@@ -63,21 +63,26 @@ def neighbours(edges: DataFrame, visual: DataFrame, top: int = NEIGHBOURS) -> Da
 def nearest_in_block(rows: DataFrame, block: list[str], key: str, position: str, top: int) -> DataFrame:
     """The ``top`` rows of the same block nearest in position, ties to the smaller key.
 
-    In a block sorted by position the nearest ``top`` lie within ``top`` places on either side, so each row
-    looks at its 2 x top window neighbours and no pairs are formed.
+    Each (block, position) keeps its ``top`` + 1 smallest keys.  In a block sorted by position the nearest ``top`` rows
+    lie on the ``top`` nearest other positions of either side or on the row's own, so each position looks at those and
+    keeps its nearest ``top`` + 1; a row takes them without itself.  Ties of any number are exact and no pairs are formed.
     """
-    order = W.partitionBy(*block).orderBy(position, key)
-    places = [k for k in range(-2 * top, 2 * top + 1) if k]
-    windowed = rows.select(
-        F.col(key).alias("id"),
-        F.col(position).alias("_at"),
-        *[F.lead(key, k).over(order).alias(f"_k{k + 2 * top}") for k in places],
-        *[F.lead(position, k).over(order).alias(f"_p{k + 2 * top}") for k in places],
-    )
-    near = F.array(*[F.struct(F.col(f"_k{k + 2 * top}").alias("other"), F.col(f"_p{k + 2 * top}").alias("at")) for k in places])
-    exploded = windowed.select("id", "_at", F.explode(near).alias("_n")).where(F.col("_n.other").isNotNull())
-    spread = exploded.select("id", F.col("_n.other").alias("other"), F.abs(F.col("_n.at") - F.col("_at")).alias("distance"))
-    return ranked(spread, ["id"], [F.col("distance"), F.col("other")], top)
+    own = rows.select(*[F.col(c).alias(f"_b{k}") for k, c in enumerate(block)], F.col(position).alias("_at"), F.col(key).alias("id")).distinct()
+    blocks = [f"_b{k}" for k in range(len(block))]
+    smallest = ranked(own, [*blocks, "_at"], [F.col("id")], top + 1)
+    lists = smallest.groupBy(*blocks, "_at").agg(F.collect_list("id").alias("_keys"))
+    order = W.partitionBy(*blocks).orderBy("_at")
+    places = [F.struct("_at", "_keys"), *[F.lead(F.struct("_at", "_keys"), k).over(order) for k in range(-top, top + 1) if k]]
+    seen = lists.select(*blocks, "_at", F.filter(F.array(*places), lambda p: p.isNotNull()).alias("_places"))
+    distance = lambda p: F.abs(p["_at"] - F.col("_at"))
+    near = F.flatten(F.transform("_places", lambda p: F.transform(p["_keys"], lambda k: F.struct(distance(p).isNull().alias("far"), distance(p).alias("distance"), k.alias("other")))))
+    nearest = seen.select(*[F.col(c).alias(f"_{c}") for c in blocks], F.col("_at").alias("__at"), F.slice(F.array_sort(near), 1, top + 1).alias("_near"))
+    same = own["_at"].eqNullSafe(nearest["__at"])
+    for c in blocks:
+        same &= own[c].eqNullSafe(nearest[f"_{c}"])
+    others = F.slice(F.filter("_near", lambda n: n["other"] != F.col("id")), 1, top)
+    spread = own.join(nearest, same).select("id", F.posexplode(others).alias("_k", "_n"))
+    return spread.select("id", F.col("_n.other").alias("other"), F.col("_n.distance").alias("distance"), (F.col("_k") + 1).alias("rank"))
 
 
 def fallback_neighbours(rows: DataFrame, rungs: list[list[str]], key: str, position: str, top: int) -> DataFrame:
