@@ -54,7 +54,7 @@ def index_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def taxonomy_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Families of the characters that stand in the documents."""
-    points = taxonomy.resolved(taxonomy.code_points(spark, 0, 0xFFFF))
+    points = taxonomy.resolved(taxonomy.code_points(spark))
     used = table(spark, sf_dir, "documents").select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("(?s)."), F.lit(0)))).alias("c")).distinct()
     return used.select(F.ascii("c").cast("bigint").alias("cp")).join(points, "cp").select("cp", "name", "family", "subfamily", "basis")
 
@@ -66,7 +66,7 @@ def taxonomy_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def taxonomy_name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return taxonomy.name_tokens(taxonomy.code_points(spark, 0x2190, 0x2BFF))
+    return taxonomy.name_tokens(taxonomy.code_points(spark))
 
 
 @query("""

@@ -26,3 +26,11 @@ def test_nearest_in_block_with_ties_of_any_size(spark):
         near = sorted((abs(q - p), o) for o, c, q in rows if c == b and o != k)[:3]
         want |= {(k, n + 1): (o, d) for n, (d, o) in enumerate(near)}
     assert got == want and len(found) == len(want)
+
+
+def test_taxonomy_knows_characters_beyond_the_basic_plane(spark, tmp_path):
+    spark.createDataFrame([(1, "a 😀 𝐀 𠀀")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {chr(r["cp"]) for r in queries()["taxonomy_families"](spark, str(tmp_path)).collect()}
+    assert got == set("a 😀𝐀𠀀")
+    names = queries()["taxonomy_name_tokens"](spark, str(tmp_path)).where("size = 1 AND token IN ('LATIN', 'EMOJI', 'GRINNING')").collect()
+    assert {r["token"] for r in names} >= {"LATIN", "GRINNING"}
