@@ -2,7 +2,8 @@
 
 Everything works on the UTF-8 buffers of an Arrow batch, a bounded slice of rows at a time, so
 no Python object is made per word.  A word is a run of bytes outside ``\\x20 \\x09-\\x0D``; the
-letters A-Z are lower-cased.  Words are named by 64-bit polynomial hashes.
+letters A-Z are lower-cased.  Words are named by 64-bit hashes: the mixed sum of a table's terms for each byte at
+its place, so two different words share a name with a chance of 2**-64, whatever their form.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ import pyarrow as pa
 U64 = np.uint64
 #: Bytes of text handled at once; temporary arrays take about forty times as much.
 SLICE_BYTES = 1 << 20
+#: Places of a word, or span, that have their own row in a table of terms.
+_PLACES = 64
 
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -33,19 +34,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_BYTE = mix((LOWER.astype(U64) + U64(1)) * U64(0xD6E8FEB86659FD93))
-_EXACT = mix((np.arange(256).astype(U64) + U64(1)) * U64(0xD6E8FEB86659FD93))
-_power: dict[str, np.ndarray] = {}
+def _table(key: int, byte: np.ndarray) -> np.ndarray:
+    """A term for every place and byte: unrelated numbers, so sums of them have no structure to collide by."""
+    place = np.arange(_PLACES).astype(U64)[:, None] << U64(8)
+    return mix(mix((place | byte.astype(U64)) + U64(key)) + U64(0x9E3779B97F4A7C15))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_power.get("up", ())) < n + 1:
-        size = max(n + 1, SLICE_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            p = np.full(size, base, U64)
-            p[0] = 1
-            _power[name] = np.multiply.accumulate(p)
-    return _power["up"], _power["down"]
+#: Terms of words (letters A-Z lower-cased, no term for white space) under two independent keys, and of exact spans.
+_WORDS = [np.where(_SPACE, U64(0), _table(key, LOWER)).ravel() for key in (0xD6E8FEB86659FD93, 0x5851F42D4C957F2D)]
+_EXACT = _table(0xA0761D6478BD642F, np.arange(256)).ravel()
+
+
+def _hashes(table: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the contiguous spans of ``data`` that begin at ``starts`` (the first at 0)."""
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(starts, append=len(data)))
+    term = table[(place & (_PLACES - 1)) << 8 | data]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        # what has no term stays without one
+        moved = mix(term[far] ^ ((place[far] // _PLACES).astype(U64) * U64(0xE7037ED1A0B428DB)))
+        term[far] = np.where(term[far] == 0, U64(0), moved)
+    return mix(np.add.reduceat(term, starts))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +81,7 @@ def row_slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[i
         a = min(b, n)
 
 
-def _hash_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hash_words(data: np.ndarray, starts: np.ndarray, lane: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and start positions of the words of a slice; ``starts`` also break words."""
     n = len(data)
     if not n:
@@ -82,45 +91,35 @@ def _hash_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     before[0], before[1:] = True, space[:-1]
     before[starts[starts < n]] = True
     first = np.flatnonzero(~space & before)
-    after = np.empty(n, bool)
-    after[-1], after[:-1] = True, space[1:]
-    cut = starts[(starts > 0) & (starts <= n)] - 1
-    after[cut] = True
-    last = np.flatnonzero(~space & after)
-    up, down = _powers(n)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(_BYTE[data] * up[:n], out=total[1:])
-    return mix((total[last + 1] - total[first]) * down[first]), first
-
-
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of spans of a buffer, letter case kept.  Sums wrap, so spans of any length may be used."""
+    if not len(first):
+        return np.zeros(0, U64), first
+    # white space behind a word has no term
+    return _hashes(_WORDS[lane], data[first[0] :], first - first[0]), first
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the contiguous spans that begin at ``starts`` and cover the rest of the buffer, letter case kept."""
     out = np.empty(len(starts), U64)
-    up, down = _powers(SLICE_BYTES)
     a = 0
     while a < len(starts):
-        b = max(a + 1, int(np.searchsorted(ends, starts[a] + SLICE_BYTES, "right")))
-        x, y = int(starts[a]), int(ends[b - 1])
-        if y - x > SLICE_BYTES:
-            up, down = _powers(y - x)
-        total = np.zeros(y - x + 1, U64)
-        np.cumsum(_EXACT[data[x:y]] * up[: y - x], out=total[1:])
-        out[a:b] = mix((total[ends[a:b] - x] - total[starts[a:b] - x]) * down[starts[a:b] - x])
+        b = max(a + 1, int(np.searchsorted(starts, starts[a] + SLICE_BYTES, "right")) - 1)
+        end = int(starts[b]) if b < len(starts) else len(data)
+        out[a:b] = _hashes(_EXACT, data[starts[a] : end], starts[a:b] - starts[a])
         a = b
     return out
 
 
-def words_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def words_of(column: pa.Array, lane: int = 0) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of rows with all their words: first row, end row, word hashes, words per row.
 
-    A text longer than a slice is hashed in parts cut at white space.
+    A text longer than a slice is hashed in parts cut at white space.  ``lane`` 1 gives hashes under another key.
     """
     data, offsets = utf8(column)
     for a, b in row_slices(offsets):
         part = data[offsets[a] : offsets[b]]
         if b - a > 1 or len(part) <= SLICE_BYTES:
             starts = offsets[a:b] - offsets[a]
-            found, at = _hash_words(part, starts)
+            found, at = _hash_words(part, starts, lane)
             ends = np.searchsorted(at, offsets[a + 1 : b + 1] - offsets[a])
             # a row's words start before its end, so counts are differences
             yield a, b, found, np.diff(ends, prepend=0)
@@ -135,7 +134,7 @@ def words_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
                     else:
                         while y < len(part) and not _SPACE[part[y]]:
                             y += 1
-                pieces.append(_hash_words(part[x:y], np.zeros(1, np.int64))[0])
+                pieces.append(_hash_words(part[x:y], np.zeros(1, np.int64), lane)[0])
                 x = y
             found = np.concatenate(pieces)
             yield a, b, found, np.array([len(found)])
@@ -144,11 +143,8 @@ def words_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 _LANES = [U64(x) for x in (0x8CB92BA72F3D8DD7, 0xA24BAED4963EE407, 0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def shingles(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes by row, sorted within each row, and how many each row has.
-
-    A row with fewer words than ``width`` has its whole sequence as one shingle; without words, none.
-    """
+def _shingles(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """All shingle hashes in order, and the row of each."""
     ends = np.cumsum(counts)
     begins = ends - counts
     n = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
@@ -163,9 +159,21 @@ def shingles(words: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndar
         if short.any():
             term[short & (k >= counts[row])] = 0
         value = mix(value) + term if k else value + term
-    value = mix(value)
+    return mix(value), row
+
+
+def shingles(words: np.ndarray, counts: np.ndarray, width: int, other: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """Distinct shingle hashes by row, sorted within each row, and how many each row has.
+
+    A row with fewer words than ``width`` has its whole sequence as one shingle; without words, none.  With the
+    words' hashes under another key, also those of the same shingles in the same order: 128 bits in all.
+    """
+    value, row = _shingles(words, counts, width)
     order = np.lexsort((value, row))
     value, row = value[order], row[order]
     keep = np.ones(len(value), bool)
     keep[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-    return value[keep], np.bincount(row[keep], minlength=len(counts))
+    n = np.bincount(row[keep], minlength=len(counts))
+    if other is None:
+        return value[keep], n
+    return value[keep], n, _shingles(other, counts, width)[0][order[keep]]

@@ -26,7 +26,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(u, component) for every node of ``edges`` (u, v) that isn't the smallest of its component."""
+    """(u, component), a scratch table, for every node of ``edges`` (u, v) that isn't the smallest of its component.
+
+    Rounds grow with the logarithm of the longest path; beyond ``most_rounds`` it raises rather than give a part.
+    """
     now = stored(edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     for _ in range(most_rounds):
         new = stored(_star(_star(now, True), False).distinct(), "cc")

@@ -16,10 +16,12 @@ The population count of the XOR of the shingles' sketches never exceeds the numb
 sets differ, so that bound loses nothing, and for sets of up to some thousand shingles it is nearly exact;
 for longer texts the samples' sketch decides, at five deviations.  The chance that a pair at the threshold
 shares no band is 1.2e-7 with 40 bands of 5.  A leader with many partners is salted: at most ``FANOUT``
-partners per task key.
+partners per task key.  Shingles are told apart by 128 bits (two 64-bit hashes under independent keys) wherever
+a link or an equality is confirmed: two different shingles count as one with a chance of 2**-128.
 
 Defined cases: A-Z is lower-cased; a text with fewer words than the width is one shingle; a null or blank
-text has no shingles and links with nothing; repeated rows are one node; null ids never name a component unless
+text has no shingles and links with nothing; repeated rows are one node; rows with a null id, or with an id that
+stands on several texts, are told apart by their texts; null ids never name a component unless
 all ids in it are null; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphloom.llm._arrays import U64, mix, shingles, words_of
-from glyphloom.llm._storage import small_batches, stored
+from glyphloom.llm._storage import dropped, small_batches, stored
 from glyphloom.llm.components import components
 
 BANDS, ROWS = 40, 5
@@ -43,7 +45,8 @@ SKETCH_BITS = 512
 #: Bits of the sketch of the shingles themselves.
 SET_BITS = 2048
 FANOUT = 500
-CELL = 1024
+#: Sets of a chunk of a large bucket; a task compares two chunks at once.
+CELL = 256
 _MULTIPLY = (mix(np.arange(1, HASHES + 1).astype(U64)) | U64(1)).astype(np.uint32)
 _FLIP = (mix(np.arange(1001, HASHES + 1001).astype(U64)) >> U64(32)).astype(np.uint32)
 
@@ -102,8 +105,8 @@ def set_sketch(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _set_key(values: np.ndarray) -> bytes:
-    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+def _set_key(values: np.ndarray, others: np.ndarray) -> bytes:
+    return hashlib.blake2b(values.tobytes() + others.tobytes(), digest_size=16).digest()
 
 
 def _merge(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -119,8 +122,8 @@ def signatures(docs: DataFrame, width: int, more: tuple[str, ...] = ()) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, words, counts in words_of(batch.column(1)):
-                values, n = shingles(words, counts, width)
+            for (a, b, words, counts), (_, _, other, _) in zip(words_of(batch.column(1)), words_of(batch.column(1), 1), strict=True):
+                values, n, others = shingles(words, counts, width, other)
                 full = np.flatnonzero(n)
                 keys = np.full(b - a, None, object)
                 bands, sketch = [None] * (b - a), [None] * (b - a)
@@ -129,7 +132,8 @@ def signatures(docs: DataFrame, width: int, more: tuple[str, ...] = ()) -> DataF
                     ends = np.cumsum(n)
                     band, odd = band_keys(sample).tolist(), np.hstack([odd_sketch(sample), set_sketch(values, n[full])])
                     for k, row in enumerate(full):
-                        keys[row] = _set_key(values[ends[row] - n[row] : ends[row]])
+                        own = slice(ends[row] - n[row], ends[row])
+                        keys[row] = _set_key(values[own], others[own])
                         bands[row], sketch[row] = band[k], odd[k].tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n.astype(np.int64)), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary()), *(x.slice(a, b - a) for x in batch.columns[2:])],
@@ -148,7 +152,7 @@ def _xor(a: str, b: str, first: int, count: int):
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) of ``pairs`` whose full sets reach the threshold."""
     limit = most_xor(percent)
-    of = nodes.select("set_key", "n", "sketch", "doc")
+    of = nodes.select("set_key", "n", "sketch", F.struct("first.doc_id", "first._text_key").alias("doc"))
     # a quick look at the sketches and sizes first
     one = of.select(F.col("set_key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"), F.col("doc").alias("d_a"))
     two = of.select(F.col("set_key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"), F.col("doc").alias("d_b"))
@@ -160,10 +164,11 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
         .select("a", "b", "d_a", "d_b")
     )
     near = stored(near, "near-pairs")
-    wanted = near.select(F.col("a").alias("set_key"), F.col("d_a").alias("doc")).unionByName(near.select(F.col("b").alias("set_key"), F.col("d_b").alias("doc"))).distinct()
-    # an id may stand on several rows; the set's own key tells which text is meant
-    rows = docs.select(F.col("doc_id").alias("_id"), "text")
-    texts = wanted.join(rows.hint("merge"), F.col("doc").eqNullSafe(F.col("_id"))).select("set_key", "text")
+    wanted = near.select(F.col("a").alias("set_key"), F.col("d_a").alias("d")).unionByName(near.select(F.col("b").alias("set_key"), F.col("d_b").alias("d"))).distinct()
+    # a text is told by its id and digest; where several rows have both, one of them will do
+    wanted = wanted.select("set_key", F.col("d.doc_id").alias("_id"), F.col("d._text_key").alias("_key")).hint("merge")
+    rows = docs.select("doc_id", "text", "_text_key")
+    texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).groupBy("set_key").agg(F.first("text").alias("text"))
     fan = near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FANOUT).cast("int").alias("_salts"))
     salt = F.pmod(F.xxhash64("a"), F.col("_salts")).cast("int").alias("salt")
     partners = _merge(_merge(near.select("a", "b"), fan, "b").select("b", salt, "a"), texts.select(F.col("set_key").alias("a"), "text"), "a").select("b", "salt", F.lit(1).alias("kind"), "a", "text")
@@ -171,31 +176,31 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     both = leaders.unionByName(partners).repartition("b", "salt").sortWithinPartitions("b", "salt", "kind", "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        owner, own = None, np.zeros(0, U64)
-        last, held = None, False
+        owner, own, own_others = None, np.zeros(0, U64), np.zeros(0, U64)
         for batch in batches:
             b_keys, kinds, a_keys = (batch.column(k).to_pylist() for k in (0, 2, 3))
             found: tuple[list, list] = ([], [])
-            for x, y, words, counts in words_of(batch.column(4)):
-                values, n = shingles(words, counts, width)
+            for (x, y, words, counts), (_, _, other, _) in zip(words_of(batch.column(4)), words_of(batch.column(4), 1), strict=True):
+                values, n, others = shingles(words, counts, width, other)
                 ends = np.cumsum(n)
                 for row in range(x, y):
-                    mine = values[ends[row - x] - n[row - x] : ends[row - x]]
-                    if _set_key(mine) != a_keys[row]:
-                        continue  # another text under the same id
+                    at = slice(ends[row - x] - n[row - x], ends[row - x])
+                    mine, mine_others = values[at], others[at]
                     if kinds[row] == 0:
-                        owner, own, last = b_keys[row], mine, None
+                        owner, own, own_others = b_keys[row], mine, mine_others
                         continue
-                    if owner != b_keys[row] or (last == a_keys[row] and held):
-                        continue
-                    shared = len(np.intersect1d(own, mine, assume_unique=True))
-                    last, held = a_keys[row], True
+                    if owner != b_keys[row]:
+                        raise RuntimeError("a pair's text is missing: the documents changed between two readings")
+                    _, p, q = np.intersect1d(own, mine, assume_unique=True, return_indices=True)
+                    shared = int((own_others[p] == mine_others[q]).sum())
                     if 100 * shared >= percent * (len(own) + len(mine) - shared):
                         found[0].append(a_keys[row])
                         found[1].append(owner)
             yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())], names=["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    links = stored(both.mapInArrow(run, "a binary, b binary"), "near-links")
+    dropped(near)
+    return links
 
 
 def _across(live: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
@@ -253,17 +258,14 @@ def _across(live: DataFrame, nodes: DataFrame, joined: DataFrame, percent: int)
     return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _linked(docs: DataFrame, width: int, percent: int, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """The signatures of all rows; and (set_key, doc, component) of every set, with ``first``, the first row by id and ``more``, if given."""
-    signed = stored(signatures(docs, width, more), "near-sets")
-    docs = docs.select("doc_id", "text")
-    first_row = [F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", *more)).alias("first")] if more else []
-    carried = ["first"] if more else []
+def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``signatures`` of all rows, one row for each set, and (set_key, first, component) of every set; ``first``: its first row's id and digest."""
+    docs = docs.select("doc_id", "text", F.md5(F.col("text").cast("binary")).alias("_text_key"))
+    signed = stored(signatures(docs, width, ("_text_key",)), "near-sets")
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_text_key")).alias("first")
     longs = F.transform(F.sequence(F.lit(0), F.lit((SKETCH_BITS + SET_BITS) // 64 - 1)), lambda k: F.conv(F.substring(F.hex("sketch"), k * 16 + 1, F.lit(16)), 16, -10).cast("long"))
-    grouped = signed.where(F.col("n_shingles") > 0).groupBy("set_key").agg(
-        F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), *first_row
-    )
-    nodes = stored(grouped.select("set_key", "doc", "n", "bands", F.col("sketch").alias("raw"), longs.alias("sketch"), *carried), "near-nodes")
+    grouped = signed.where(F.col("n_shingles") > 0).groupBy("set_key").agg(first_row, F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    nodes = stored(grouped.select("set_key", "first", "n", "bands", F.col("sketch").alias("raw"), longs.alias("sketch")), "near-nodes")
     banded = nodes.select("set_key", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     live = stored(_merge(banded, shared, "bucket"), "near-live")
@@ -271,21 +273,23 @@ def _linked(docs: DataFrame, width: int, percent: int, more: tuple[str, ...] = (
     weight = live.groupBy("set_key").agg(F.sum("m").alias("w"))
     leaders = _merge(live, weight, "set_key").groupBy("bucket").agg(F.max(F.struct("w", "set_key")).alias("top")).select("bucket", F.col("top.set_key").alias("b"))
     stars = _merge(live, leaders, "bucket").where(F.col("set_key") != F.col("b")).select(F.col("set_key").alias("a"), "b").distinct()
-    links = stored(_confirmed(stars, nodes, docs, width, percent), "near-links")
+    links = _confirmed(stars, nodes, docs, width, percent)
     edges = lambda x: x.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    first = stored(components(edges(links)), "near-first")
+    first = components(edges(links))
     joined = first.withColumnRenamed("u", "set_key")
     across = stored(_across(live, nodes, joined, percent), "near-across")
-    more = stored(_confirmed(across, nodes, docs, width, percent), "near-more")
+    more = _confirmed(across, nodes, docs, width, percent)
+    dropped(live, across, links)
     if not more.isEmpty():
         joined = components(first.select("u", F.col("component").alias("v")).unionByName(edges(more))).withColumnRenamed("u", "set_key")
-    return signed, _merge(nodes.select("set_key", "doc", *carried), joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    dropped(more)
+    return signed, nodes, _merge(nodes.select("set_key", "first"), joined, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
-    signed, owned = _linked(docs, width, percent)
-    named = owned.groupBy("component").agg(F.min("doc").alias("component_id"))
+    signed, _, owned = _linked(docs, width, percent)
+    named = owned.groupBy("component").agg(F.min("first.doc_id").alias("component_id"))
     of_set = _merge(owned, named, "component").select("set_key", "component_id")
     rows = _merge(signed.select("doc_id", "n_shingles", "set_key"), of_set, "set_key", "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -298,14 +302,15 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     A row is told by its id and its text's digest: an id may be null or stand on several texts.  Rows without id
     and shingles are not known to be the same, so all of them stay.
     """
-    keyed = docs.withColumn("_text_key", F.sha2(F.col("text").cast("binary"), 256))
-    signed, owned = _linked(keyed, width, percent, ("_text_key",))
+    signed, nodes, owned = _linked(docs, width, percent)
     firsts = owned.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept_id"), F.col("first._text_key").alias("_kept_key"))
     blank = signed.where("n_shingles = 0").select(F.col("doc_id").alias("_kept_id"), F.col("_text_key").alias("_kept_key"), F.col("doc_id").isNull().alias("_all")).distinct()
     repeated = signed.groupBy(F.col("doc_id").alias("_id"), F.col("_text_key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     kept = firsts.withColumn("_all", F.lit(False)).unionByName(blank)
     kept = kept.join(repeated.hint("merge"), F.col("_kept_id").eqNullSafe(F.col("_id")) & F.col("_kept_key").eqNullSafe(F.col("_key")), "left")
     found = stored(kept.select("_kept_id", "_kept_key", (F.col("_rows").isNotNull() & ~F.col("_all")).alias("_several")), "near-kept")
+    dropped(signed, nodes)
+    keyed = docs.withColumn("_text_key", F.md5(F.col("text").cast("binary")))
     own = keyed.join(found, keyed["doc_id"].eqNullSafe(F.col("_kept_id")) & keyed["_text_key"].eqNullSafe(F.col("_kept_key")))
     single = own.where(~F.col("_several")).select(*[keyed[c] for c in docs.columns])
     if found.where("_several").isEmpty():

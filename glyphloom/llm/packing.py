@@ -49,7 +49,7 @@ class Limits:
 class Piece:
     """Tokens ``start`` to ``start + len(ids)`` of an example; ``loss`` marks those that bear loss."""
 
-    key: int
+    key: object
     start: int
     ids: np.ndarray
     loss: np.ndarray
@@ -142,7 +142,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list = []
         kinds: list[pa.DataType] = []
 
         def pieces() -> Iterator[Piece]:
@@ -155,8 +154,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
                         own = np.append(ids[end - n : end], np.uint32(end_id))
                         loss = np.ones(len(own), bool)
                         loss[0] = False
-                        names.append(owners[row])
-                        yield Piece(len(names) - 1, 0, own, loss, len(own))
+                        yield Piece(owners[row], 0, own, loss, len(own))
                         row += 1
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -170,7 +168,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
             offset = 0
             for p in sequence:
                 crc = zlib.crc32(np.ascontiguousarray(p.ids, "<u4").tobytes())
-                rows.append((names[p.key], p.start, len(p.ids), crc, p.total, first + number, offset))
+                rows.append((p.key, p.start, len(p.ids), crc, p.total, first + number, offset))
                 offset += len(p.ids)
             if len(rows) >= 8192:
                 yield batch_of(rows)

@@ -69,7 +69,7 @@ def text_features(column: pa.Array) -> np.ndarray:
         lines = np.flatnonzero((np.concatenate([[True], (part[:-1] == 10)]) if len(part) else np.zeros(0, bool)) | np.isin(np.arange(len(part)), own[:-1]))
         if len(lines):
             owner = row[lines]
-            named = span_hashes(part, lines, np.append(lines[1:], len(part)))
+            named = span_hashes(part, lines)
             order = np.lexsort((named, owner))
             again = (named[order][1:] == named[order][:-1]) & (owner[order][1:] == owner[order][:-1])
             count = np.maximum(np.bincount(owner, minlength=n), 1)

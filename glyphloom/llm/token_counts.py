@@ -4,9 +4,10 @@ Rows arrive in Arrow batches and are taken in groups of about equal bytes.  Text
 boundaries that byte-level BPE with the usual pre-token pattern can never join: before a single space that
 a visible character follows, around other white space, and between an ASCII letter and ASCII punctuation
 other than the apostrophe.  A place is used only if the bytes around it prove it safe.  The
-distinct pieces of a group, named by 64-bit hashes, are looked up in a bounded memo of the worker; those
-it lacks are encoded in batches of balanced bytes.  Only lengths are kept (ids where a caller asks).
-Texts that hold a special string are encoded whole.
+distinct pieces of a group are looked up by their bytes in a bounded memo of the worker; those it lacks are
+encoded in batches of balanced bytes.  Hashes only find repeated pieces within a group, and each repeat is
+compared with the first byte for byte, so no collision can change a count.  Only lengths are kept (ids where a
+caller asks).  Texts that hold a special string are encoded whole; the other texts of their group in pieces.
 
 ``counter`` chooses the library by the file: tokenizers for ``.json``, sentencepiece for ``.model``
 (whole texts there: its normaliser knows no safe cut).  Begin, end and other added tokens are left out;
@@ -27,14 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphloom.llm._arrays import U64, row_slices, span_hashes, utf8
+from glyphloom.llm._arrays import row_slices, span_hashes, utf8
 from glyphloom.llm._storage import small_batches
 
 #: Bytes of text taken together, and bytes of distinct pieces that one call of the library gets.
 GROUP_BYTES = 1 << 21
 BATCH_BYTES = 1 << 18
 #: Pieces in a worker's memo; beyond that it starts again.
-MEMO_PIECES = 2_000_000
+MEMO_PIECES = 400_000
 
 _table = lambda *ranges: np.isin(np.arange(256), [b for r in ranges for b in r])
 _WHITE = _table(range(9, 14), [32])
@@ -62,7 +63,7 @@ def piece_starts(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 class Memo:
-    """Piece lengths, or ids, by hash, for one tokenizer file; shared by the tasks of a worker."""
+    """Piece lengths, or ids, by the piece's bytes, for one tokenizer file; shared by the tasks of a worker."""
 
     def __init__(self, path: str, ids: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -75,8 +76,9 @@ class Memo:
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.length, self.start = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.place: dict[bytes, int] = {}
+        self.length, self.start = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.flat, self.used = np.zeros(1024, np.uint32), 0
 
     def encode(self, texts: list[str]) -> list:
         out, batch, size = [], [], 0
@@ -88,43 +90,73 @@ class Memo:
                 batch, size = [], 0
         return out
 
-    def find(self, keys: np.ndarray, text: Callable[[int], str]) -> np.ndarray:
-        """Places in the memo of sorted distinct ``keys``; ``text(k)`` is the piece of the k-th."""
-        if len(self.key) > MEMO_PIECES:
-            self.clear()
-        at = np.searchsorted(self.key, keys)
-        known = self.key[np.minimum(at, len(self.key) - 1)] == keys if len(self.key) else np.zeros(len(keys), bool)
-        if not known.all():
-            new = np.flatnonzero(~known)
-            found = self.encode([text(k) for k in new])
+    def find(self, pieces: list[bytes]) -> np.ndarray:
+        """Places in the memo of ``pieces``."""
+        at = [self.place.get(p, -1) for p in pieces]
+        if -1 in at:
+            new = list(dict.fromkeys(p for p, k in zip(pieces, at, strict=True) if k < 0))
+            have = len(self.place)
+            found = self.encode([p.decode() for p in new])
             length = np.array([len(x) for x in found] if self.ids else found, np.int64)
-            start = np.cumsum(length) - length + len(self.flat)
+            while len(self.length) < have + len(new):
+                self.length, self.start = np.resize(self.length, 2 * len(self.length)), np.resize(self.start, 2 * len(self.start))
+            self.length[have : have + len(new)] = length
             if self.ids:
-                self.flat = np.concatenate([self.flat, *found])
-            place = at[new]
-            self.key, self.length, self.start = np.insert(self.key, place, keys[new]), np.insert(self.length, place, length), np.insert(self.start, place, start)
-            at = np.searchsorted(self.key, keys)
-        return at
+                self.start[have : have + len(new)] = np.cumsum(length) - length + self.used
+                more = int(length.sum())
+                while len(self.flat) < self.used + more:
+                    self.flat = np.resize(self.flat, 2 * len(self.flat))
+                self.flat[self.used : self.used + more] = np.concatenate(found)
+                self.used += more
+            self.place.update(zip(new, range(have, have + len(new)), strict=True))
+            at = [self.place[p] if k < 0 else k for p, k in zip(pieces, at, strict=True)]
+        return np.array(at, np.int64)
 
     def group(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """Tokens by row of a group of texts, and all their ids in order."""
         raw = data.tobytes()
         if any(s in raw for s in self.special):
-            found = self.encode([raw[a:b].decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-            return (np.array([len(x) for x in found], np.int64), np.concatenate([*found, np.zeros(0, np.uint32)])) if self.ids else (np.array(found, np.int64), None)
+            texts = [raw[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            whole = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
+            found = dict(zip(whole, self.encode([texts[k].decode() for k in whole]), strict=True))
+            # the runs of texts between them go on in pieces
+            counts, ids = np.zeros(len(texts), np.int64), []
+            for a, b in zip([0, *(k + 1 for k in whole)], [*whole, len(texts)], strict=True):
+                if a < b:
+                    counts[a:b], own = self._pieces(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                    ids.append(own)
+                if b < len(texts):
+                    counts[b] = len(found[b]) if self.ids else found[b]
+                    ids.append(found[b])
+            return counts, np.concatenate([*ids, np.zeros(0, np.uint32)]) if self.ids else None
+        return self._pieces(data, offsets)
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         rows = offsets[:-1][np.diff(offsets) > 0]
+        if not len(rows):
+            return np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.uint32)
+        if len(self.place) > MEMO_PIECES:
+            self.clear()
+        raw = data.tobytes()
         starts = piece_starts(data, rows)
         ends = np.append(starts[1:], len(data))
-        hashes = span_hashes(data, starts, ends)
-        keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        at = self.find(keys, lambda k: raw[starts[first[k]] : ends[first[k]]].decode())[inverse]
+        _, first, inverse = np.unique(span_hashes(data, starts), return_index=True, return_inverse=True)
+        at = self.find([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])[inverse]
+        # every piece has its name from the first of its hash: are they the same bytes?
+        like, size = first[inverse], ends - starts
+        same = size == size[like]
+        place = np.arange(len(data)) + np.repeat(starts[like] - starts, size)
+        differ = data[np.minimum(place, len(data) - 1)] != data
+        if differ.any() or not same.all():
+            same[np.searchsorted(starts, np.flatnonzero(differ), "right") - 1] = False
+            other = np.flatnonzero(~same)
+            at[other] = self.find([raw[starts[k] : ends[k]] for k in other])
         length = self.length[at]
         upto = np.concatenate([[0], np.cumsum(length)])
         counts = np.diff(upto[np.searchsorted(starts, offsets)])
         if not self.ids:
             return counts, None
-        place = np.repeat(self.start[at] - upto[:-1], length) + np.arange(upto[-1])
-        return counts, self.flat[place]
+        return counts, self.flat[np.repeat(self.start[at] - upto[:-1], length) + np.arange(upto[-1])]
 
 
 _memos: dict[tuple[str, bool], Memo] = {}

@@ -134,6 +134,32 @@ def test_sentencepiece_counts(spark):
     assert got == {1: len(model.encode(rows[0][1])), 2: 0}
 
 
+def thue_morse(n: int, letters: str = "ab") -> str:
+    """The sequence and its complement have equal sums under any powers of an odd number, modulo a power of two."""
+    return "".join(letters[k.bit_count() & 1] for k in range(n))
+
+
+def test_structured_texts_keep_their_own_tokens(spark, tokenizer):
+    texts = [thue_morse(n, letters) for n in (1024, 4096, 1 << 16) for letters in ("ab", "ba")]
+    texts += [" ".join([thue_morse(256), thue_morse(256, "ba")] * 3), "<|endoftext|> special", "plain"]
+    rows = [(k, t, "en", "s", 1, None, None, None) for k, t in enumerate(texts)]
+    want = {k: tokenizer.encode(t, add_special_tokens=False).ids for k, t in enumerate(texts)}
+    got = token_counts.count_tokens(brute.frame(spark, rows).coalesce(1), tokenizer_path()).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {k: len(x) for k, x in want.items()}
+    check_packing(packing.pack_documents(brute.frame(spark, rows).coalesce(1), tokenizer_path()).collect(), tokenizer, dict(enumerate(texts)))
+    linked = near_dedup.near_duplicates(brute.frame(spark, rows), 4, 80).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in linked)
+
+
+def test_repeated_hashes_do_not_change_tokens(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_counts, "span_hashes", lambda data, starts: np.zeros(len(starts), np.uint64))
+    monkeypatch.setattr(token_counts, "_memos", {})
+    texts = ["one two three", "four five", "", "six <|endoftext|> seven"]
+    (counts, ids), = token_counts.encoded(tokenizer_path(), pa.array(texts), True)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 def check_packing(rows, tokenizer, texts, limit=2048):
     sequences = defaultdict(list)
     pieces = defaultdict(list)
@@ -215,6 +241,19 @@ def test_large_bucket_is_compared_in_cells(spark, monkeypatch):
     assert got == brute.components(rows, 4, 80)
 
 
+def test_rows_without_ids_and_ids_on_several_texts(spark):
+    near = [" ".join([f"w{j}" for j in range(200)] + [f"own{k}"]) for k in range(60)]
+    apart = " ".join(f"other{j}" for j in range(50))
+    rows = [(None, t) for t in near * 3] + [(5, near[0]), (5, apart), (5, apart), (8, apart + " more"), (9, near[1])]
+    docs = brute.frame(spark, [(*r, None, None, None, None, None, None) for r in rows])
+    got = near_dedup.near_duplicates(docs, 4, 80).collect()
+    assert len(got) == len(rows)
+    assert {r["component_id"] for r in got if r["doc_id"] is None} == {5}
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == {5: 5, 8: 5, 9: 5}
+    kept = near_dedup.one_of_each(docs).collect()
+    assert sorted(r["text"] == apart for r in kept) == [False, True] and {r["doc_id"] for r in kept} == {5}
+
+
 def test_one_of_each_group_stays(spark):
     rows = brute.planted(12)
     docs = brute.frame(spark, [*rows, rows[0], rows[0]])
