@@ -79,7 +79,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _OP1 = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 9))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 9))::BIGINT AS h
   FROM documents),
 s AS (
   SELECT source, sum(size)::BIGINT AS source_size,

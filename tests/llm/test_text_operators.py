@@ -81,6 +81,23 @@ def test_mix_reaches_its_targets(spark):
     assert again == {(r["doc_id"], r["taken"]) for r in got}
 
 
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_mix_tells_rows_without_ids_and_repeated_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", most)
+    rows = [(None, f"w w w w x{k}", "en", "a", 1, None, None, None) for k in range(1000)]
+    rows += [(7, "the same five words again", "en", "b", 1, None, None, None)] * 1000
+    rows += [(k, "z " * 9, "en", "c", 1, None, None, None) for k in range(100)]
+    docs = brute.frame(spark, rows)
+    runs = [mixing.mix_sources(x).collect() for x in (docs.repartition(3), docs.coalesce(1))]
+    for got in runs:
+        assert len(got) == len(rows)
+        for source, size in (("a", 5), ("b", 5), ("c", 9)):
+            own = [r for r in got if r["source"] == source]
+            assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 2 * size, source
+    told = [sorted((str(r["doc_id"]), r["text"], r["taken"]) for r in got) for got in runs]
+    assert told[0] == told[1]
+
+
 def test_mix_on_awkward_documents(spark):
     docs = brute.frame(spark)
     got = mixing.mix_sources(docs).collect()
