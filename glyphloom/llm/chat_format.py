@@ -10,7 +10,7 @@ and at the first ": ", undoing the escape (a backslash stands for the character
 the recovered turns differ from the source, the conversation is written with one more escape:
 level 1 escapes backslashes, ``###`` and ``</turn>``; level 2 escapes every mark that the grammar uses.
 The first level that gives the source back is kept; level 2 always does.  Everything a caller gets (turns, loss
-mask, lengths, digests) is read back from the formatted text.
+mask, lengths, digests) is read back from the formatted text: the loss text is cut out of it at the mask's spans.
 
 Defined cases: a null text or role counts as empty; rows of a conversation are ordered by turn (null first),
 then role, then text, so ties and repeated rows keep their place; a null conv_id is a conversation of
@@ -46,11 +46,16 @@ def rendered(role: Column, text: Column, level: int) -> Column:
     return F.concat(F.lit(HEAD), _escape(role, level), F.lit(COLON), _escape(text, level), F.lit(CLOSE))
 
 
+def written_turns(formatted: Column) -> Column:
+    """The turns as they are written, without their ends."""
+    return F.filter(F.split(formatted, r"\Q" + TURN_END + r"\E"), lambda p, i: p != "")
+
+
 def parsed(formatted: Column) -> Column:
     """The turns of a formatted conversation: array of struct(role, text, written, role_length).
 
     ``written`` is the text as it stands there, ``role_length`` the length of the role as it stands."""
-    parts = F.filter(F.split(formatted, r"\Q" + TURN_END + r"\E"), lambda p, i: p != "")
+    parts = written_turns(formatted)
 
     def turn(part: Column) -> Column:
         colon = F.locate(COLON, part)
@@ -83,31 +88,55 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     return step.select("conv_id", F.col("_formatted").alias("formatted"), F.col("_turns").alias("turns"), F.col("_level").alias("escape_level"), same(F.col("_turns")).alias("round_trip"))
 
 
+def _place_in_turn(t: Column) -> tuple[Column, Column]:
+    """Where a turn's text begins in the written turn, and how long it is there."""
+    return t["role_length"] + len(HEAD) + len(COLON), F.length(t["written"])
+
+
 def loss_spans(turns: Column) -> Column:
-    """Code-point spans [begin, end) of the assistant texts in the formatted conversation, still escaped."""
-    extra = len(HEAD) + len(COLON)
+    """The loss mask: code-point spans [begin, end) of the assistant texts in the formatted conversation, still escaped."""
     empty = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<begin:bigint,end:bigint>>)").alias("spans"))
 
     def step(acc: Column, t: Column) -> Column:
-        begin = acc["at"] + extra + t["role_length"]
-        end = begin + F.length(t["written"])
-        span = F.array(F.struct(begin.cast("long").alias("begin"), end.cast("long").alias("end")))
+        begin, size = _place_in_turn(t)
+        begin = (acc["at"] + begin).cast("long")
+        span = F.array(F.struct(begin.alias("begin"), (begin + size).cast("long").alias("end")))
         spans = F.when(t["role"] == LOSS_ROLE, F.concat(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct((end + len(CLOSE)).cast("long").alias("at"), spans.alias("spans"))
+        return F.struct((begin + size + len(CLOSE)).cast("long").alias("at"), spans.alias("spans"))
 
     return F.aggregate(turns, empty, step, lambda acc: acc["spans"])
 
 
+def masked_conversations(rows: DataFrame) -> DataFrame:
+    """What training reads: conv_id, formatted, and loss_mask, the spans [begin, end) of ``formatted`` that bear loss."""
+    formatted = format_conversations(rows)
+    return formatted.select("conv_id", "formatted", loss_spans(F.col("turns")).alias("loss_mask"))
+
+
+def under_mask(formatted: Column, turns: Column) -> Column:
+    """The text that stands under the loss mask, unescaped, with nothing between the spans.
+
+    Each span is cut out of its written turn: code points are counted from the start of a string, so cutting
+    every span out of the whole would take the square of a long conversation.
+    """
+
+    def cut(part: Column, t: Column) -> Column:
+        begin, size = _place_in_turn(t)
+        return F.when(t["role"] == LOSS_ROLE, _unescape(F.substring(part, (begin + 1).cast("int"), size)))
+
+    return F.array_join(F.zip_with(written_turns(formatted), turns, cut), "")
+
+
 def conversation_digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted text gives back, as counts and digests."""
+    """What the formatted text gives back, as counts and digests; the loss text is what stands under the mask."""
     every = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
-    return formatted.select(
+    masked = formatted.withColumn("_loss", under_mask(F.col("formatted"), F.col("turns")))
+    return masked.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(every.cast("binary"), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"),
-        F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
+        F.length("_loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("_loss").cast("binary"), 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
         "escape_level",
         "round_trip",

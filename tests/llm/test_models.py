@@ -45,6 +45,9 @@ def test_round_trip_of_every_conversation(spark):
         written = [rows[conv]["formatted"][s["begin"] : s["end"]] for s in spans[conv]]
         assert written == [t["written"] for t in rows[conv]["turns"] if t["role"] == "assistant"]
     assert {rows[c]["escape_level"] for c in rows} == {0, 1, 2}
+    masked = {r["conv_id"]: r for r in chat_format.masked_conversations(conversations(spark)).collect()}
+    for conv, r in masked.items():
+        assert [tuple(s) for s in r["loss_mask"]] == [tuple(s) for s in spans[conv]] and r["formatted"] == rows[conv]["formatted"]
     assert chat_format.format_conversations(conversations(spark).limit(0)).count() == 0
 
 
