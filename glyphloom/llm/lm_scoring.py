@@ -5,13 +5,18 @@ the uniform 1 / (V + 1), with weights that depend on how frequent the context h
 count).  The weights are learned by expectation-maximisation on held-out counts: every training occurrence
 is held out from the counts that predict it (each of c(h w), c(h), c(w), N less one).
 
-How counts meet texts.  Documents are dealt into blocks of a few MB by hash.  A block sends its sorted
+How counts meet texts.  Documents are dealt into blocks of a few MB by their place.  A block sends its sorted
 distinct n-gram keys, with its own training counts, to key ranges; a range adds up the counts of all blocks
 and answers each block with counts in the order of its keys.  So an n-gram moves once for each block, not
-for each occurrence, no table is broadcast, and a frequent word is one key per block.  The block
-then turns every token into its counts and stores them with the parts of the score that need no weights; a
-second pass over that table scores.  For EM the counts are gathered in a histogram over logarithmic bins
-of all training tokens, whose size is bounded whatever the input; only that comes to the driver.
+for each occurrence, no table is broadcast, and a frequent word is one key per block.  Every node talks to at
+most ``FAN`` others: beyond ``FAN`` blocks the keys pass through nodes that merge as many blocks for a
+part of the keys, level by level (as in a butterfly), and the answers come back by the same way.  Messages thus
+grow as blocks x FAN x levels, never as the square of the input, and a node holds about as many keys as a block.
+The block then turns every token into its counts and stores them with the parts of the score that need no
+weights; a second pass over that table scores.  For EM the counts are gathered in a histogram over logarithmic
+bins of all training tokens, with each bin's mean estimates; its size is bounded whatever the input, and only it
+comes to the driver.  Counts
+are exact up to 2**53 tokens; words and bigrams are named by 64-bit hashes.
 
 Defined cases: a null text counts as empty (its only token is the end); a null doc_id has crc32 of the empty
 string; repeated rows are counted and scored each; without training documents N and V are 0 and both
@@ -32,9 +37,10 @@ from glyphloom.llm._arrays import U64, mix, words_of
 from glyphloom.llm._storage import input_bytes, small_batches, stored
 
 BLOCK_BYTES = 6 << 20
-RANGE_BYTES = 6 << 20
+#: Most blocks, or nodes, that a node takes keys from, and most key ranges that it sends to.
+FAN = 512
 #: Bins of EM's histogram per factor of two, and buckets of the context count (by powers of two).
-BINS = 4
+BINS = 8
 BUCKETS = 40
 EM_STEPS = 60
 END = U64(0x2545F4914F6CDD1D)
@@ -88,56 +94,136 @@ def _unpack(raw: bytes, n: int, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).reshape(n)
 
 
+def _pack_counts(x: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs; the first byte tells how many."""
+    width = next(w for w in (1, 2, 4, 8) if int(x.max(initial=0)) < 1 << 8 * w)
+    return bytes([width]) + _pack(x.astype(f"<u{width}"))
+
+
+def _unpack_counts(raw: bytes, n: int) -> np.ndarray:
+    raw = memoryview(raw)
+    return _unpack(raw[1:], n, f"<u{raw[0]}").astype(np.int64)
+
+
 def _pack_codes(x: np.ndarray) -> list[bytes]:
     """Numbers with many repeats: their distinct values, and which of them each is."""
     value, code = np.unique(x, return_inverse=True)
-    return [value.astype(np.uint32).tobytes(), _pack(code.astype(np.uint32))]
+    return [value.astype(np.int64).tobytes(), _pack(code.astype(np.uint32))]
 
 
 def _unpack_codes(value: bytes, code: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(value, np.uint32)[_unpack(code, n, np.uint32)]
+    return np.frombuffer(value, np.int64)[_unpack(code, n, np.uint32)]
+
+
+def levels(blocks: int) -> tuple[int, int]:
+    """How often keys are merged, and the fan of each level: fan ** levels >= blocks, fan <= FAN."""
+    depth = 1
+    while FAN**depth < blocks:
+        depth += 1
+    fan = 1
+    while fan**depth < blocks:
+        fan += 1
+    return depth, fan
+
+
+#: A node is a group of blocks and a key range: (g, r); at level 0 a block, with r = 0.  ``child``: who sent.
+_REQUEST = pa.schema([("g", pa.int64()), ("r", pa.int64()), ("child_g", pa.int64()), ("child_r", pa.int64()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_REPLY = pa.schema([("g", pa.int64()), ("r", pa.int64()), ("range", pa.int64()), ("n", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64()), ("kinds", pa.int64())])
+_REQUEST_SQL = "g bigint, r bigint, child_g bigint, child_r bigint, n int, keys binary, counts binary"
+_REPLY_SQL = "g bigint, r bigint, range bigint, n int, counts binary, tokens bigint, kinds bigint"
 
 
-def _requests(ranges: int):
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema) if rows else schema.empty_table()
+
+
+def _sent(keys: np.ndarray, counts: np.ndarray, g: int, r: int, level: int, fan: int) -> pa.Table:
+    """The messages of a node of ``level`` to the ``fan`` nodes above it, by key range."""
+    parts, first = fan ** (level + 1), r * fan
+    limits = np.array([(q << 64) // parts for q in range(first + 1, first + fan)], U64)
+    edges = np.concatenate([[0], np.searchsorted(keys, limits), [len(keys)]])
+    # keys go as differences: sorted and even, they need a quarter less room
+    rows = [
+        (g // fan, first + j, g, r, int(b - a), _pack(np.diff(keys[a:b], prepend=U64(0))), _pack_counts(counts[a:b]))
+        for j, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a
+    ]
+    return _rows(rows, _REQUEST)
+
+
+def _requests(fan: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         keys, uni, bi, sizes, out = _block_keys(table)
         train = np.repeat(~out, sizes)
-        counts = np.bincount(np.concatenate([uni[train], bi[train]]), minlength=len(keys)).astype(np.uint32)
-        edges = _edges(keys, ranges)
-        rows = [(r, key[0].as_py(), int(b - a), _pack(np.diff(keys[a:b], prepend=U64(0))), _pack(counts[a:b])) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _REQUEST.types, strict=True)], schema=_REQUEST)
+        counts = np.bincount(np.concatenate([uni[train], bi[train]]), minlength=len(keys))
+        return _sent(keys, counts, key[0].as_py(), 0, 0, fan)
 
     return run
 
 
-def _edges(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Where the key ranges begin and end among sorted keys."""
-    limits = np.array([(r << 64) // ranges for r in range(1, ranges)], U64)
-    return np.concatenate([[0], np.searchsorted(keys, limits), [len(keys)]])
+def _received(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Of a node's messages: their lengths, its distinct keys, each received key's place among them, and sums."""
+    n = table.column("n").to_pylist()
+    keys = np.concatenate([np.cumsum(_unpack(k.as_buffer(), m, U64), dtype=U64) for k, m in zip(table.column("keys"), n, strict=True)])
+    counts = np.concatenate([_unpack_counts(c.as_buffer(), m) for c, m in zip(table.column("counts"), n, strict=True)])
+    distinct, place = np.unique(keys, return_inverse=True)
+    return n, distinct, place, np.bincount(place, weights=counts.astype(np.float64)).astype(np.int64)
 
 
-_REQUEST = pa.schema([("range", pa.int32()), ("block", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-_REPLY = pa.schema([("block", pa.int32()), ("range", pa.int32()), ("n", pa.int32()), ("counts", pa.binary()), ("tokens", pa.int64()), ("kinds", pa.int64())])
+def _merged(level: int, fan: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, distinct, _, total = _received(table)
+        return _sent(distinct, total, key[0].as_py(), key[1].as_py(), level, fan)
 
+    return run
 
-def _answers(key: tuple, table: pa.Table) -> pa.Table:
-    """Add up the counts of a key range; one answer for each block, and the range's own totals once."""
-    n = table.column("n").to_pylist()
-    # keys come as differences: sorted and even, they need a quarter less room
-    keys = np.concatenate([np.cumsum(_unpack(k.as_buffer(), m, U64), dtype=U64) for k, m in zip(table.column("keys"), n, strict=True)])
-    counts = np.concatenate([_unpack(c.as_buffer(), m, np.uint32) for c, m in zip(table.column("counts"), n, strict=True)]).astype(np.float64)
-    distinct, place = np.unique(keys, return_inverse=True)
-    total = np.bincount(place, weights=counts).astype(np.int64)
+
+def _answered(table: pa.Table, r: int, n: list[int], total: np.ndarray, place: np.ndarray, facts: tuple[int, int]) -> pa.Table:
+    """An answer to each message, in the order of its keys; ``facts`` go with the first."""
+    ends, children = np.cumsum(n), zip(table.column("child_g").to_pylist(), table.column("child_r").to_pylist(), strict=True)
+    rows = [(*child, r, m, _pack_counts(total[place[e - m : e]]), *(facts if k == 0 else (0, 0))) for k, (child, m, e) in enumerate(zip(children, n, ends, strict=True))]
+    return _rows(rows, _REPLY)
+
+
+def _totals(key: tuple, table: pa.Table) -> pa.Table:
+    """The highest nodes: sums of all blocks for a key range, and the range's own totals once."""
+    n, distinct, place, total = _received(table)
     unigram = (distinct & U64(1)) == 0
-    facts = (int(total[unigram].sum()), int((total[unigram] > 0).sum()))
-    answer = np.minimum(total, 2**32 - 1).astype(np.uint32)[place]
-    ends = np.cumsum(n)
-    rows = [(b, key[0].as_py(), m, _pack(answer[e - m : e]), *(facts if k == 0 else (0, 0))) for k, (b, m, e) in enumerate(zip(table.column("block").to_pylist(), n, ends, strict=True))]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _REPLY.types, strict=True)], schema=_REPLY)
+    return _answered(table, key[1].as_py(), n, total, place, (int(total[unigram].sum()), int((total[unigram] > 0).sum())))
+
+
+def _told(replies: pa.Table, expected: int) -> tuple[np.ndarray, tuple[int, int]]:
+    """All counts that came back to a node, in key order, and the facts that came with them."""
+    order = np.argsort(replies.column("range").to_numpy())
+    parts = [_unpack_counts(replies.column("counts")[int(k)].as_buffer(), replies.column("n")[int(k)].as_py()) for k in order]
+    counts = np.concatenate([*parts, np.zeros(0, np.int64)])
+    if len(counts) != expected:
+        raise RuntimeError("a block's keys changed between two readings of the documents")
+    return counts, (sum(replies.column("tokens").to_pylist()), sum(replies.column("kinds").to_pylist()))
+
+
+def _passed_on(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
+    """A node in between: what came back for its keys, dealt out to those who sent them."""
+    if not table.num_rows:
+        return _REPLY.empty_table()
+    n, distinct, place, _ = _received(table)
+    total, facts = _told(replies, len(distinct))
+    return _answered(table, key[1].as_py(), n, total, place, facts)
+
+
+def corpus_counts(dealt: DataFrame, blocks: int) -> DataFrame:
+    """Answers for every block: for its distinct keys in order, their counts in the whole corpus."""
+    depth, fan = levels(blocks)
+    up = [dealt.groupBy("block").applyInArrow(_requests(fan), _REQUEST_SQL)]
+    for level in range(1, depth):
+        up.append(up[-1].groupBy("g", "r").applyInArrow(_merged(level, fan), _REQUEST_SQL))
+    replies = up[-1].groupBy("g", "r").applyInArrow(_totals, _REPLY_SQL)
+    for sent in reversed(up[:-1]):
+        replies = sent.groupBy("g", "r").cogroup(replies.groupBy("g", "r")).applyInArrow(_passed_on, _REPLY_SQL)
+    return replies
 
 
 #: Kinds: 0 the documents of a block, 1 a bin of EM's histogram, 2 totals of key ranges (N in bin, V in n).
-_COUNTED = "kind int, doc_id array<{}>, held_out array<boolean>, n_tokens array<bigint>, n_known array<bigint>, base_sum array<double>, payload array<binary>, bin bigint, n bigint"
+_COUNTED = "kind int, doc_id array<{}>, held_out array<boolean>, n_tokens array<bigint>, n_known array<bigint>, base_sum array<double>, payload array<binary>, bin bigint, n bigint, bigram double, unigram double"
 
 
 def _bins(x: np.ndarray) -> np.ndarray:
@@ -147,18 +233,14 @@ def _bins(x: np.ndarray) -> np.ndarray:
 
 def _counted(kind: pa.DataType):
     lists = [("doc_id", kind), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_sum", pa.float64()), ("payload", pa.binary())]
-    schema = pa.schema([("kind", pa.int32()), *((c, pa.list_(t)) for c, t in lists), ("bin", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("kind", pa.int32()), *((c, pa.list_(t)) for c, t in lists), ("bin", pa.int64()), ("n", pa.int64()), ("bigram", pa.float64()), ("unigram", pa.float64())])
 
     def run(key: tuple, docs: pa.Table, replies: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
         keys, uni, bi, sizes, out = _block_keys(docs)
-        order = np.argsort(replies.column("range").to_numpy())
-        parts = [_unpack(replies.column("counts")[int(k)].as_buffer(), replies.column("n")[int(k)].as_py(), np.uint32) for k in order]
-        counts = np.concatenate(parts)
-        if len(counts) != len(keys):
-            raise RuntimeError("a block's keys changed between two readings of the documents")
-        c_w, c_hw = counts[uni].astype(np.int64), counts[bi].astype(np.int64)
+        counts, (tokens, kinds) = _told(replies, len(keys))
+        c_w, c_hw = counts[uni], counts[bi]
         ends = np.cumsum(sizes)
         begins = ends - sizes
         known = np.add.reduceat((c_w > 0).astype(np.int64), begins)
@@ -168,17 +250,19 @@ def _counted(kind: pa.DataType):
         c_h[1:] = c_w[:-1]
         c_h[begins] = c_w[ends - 1]
         train = np.repeat(~out, sizes)
-        code = em_code(c_hw[train] - 1, c_h[train] - 1, c_w[train] - 1)
-        value, n = np.unique(code, return_counts=True)
+        value, place, n = np.unique(em_code(c_hw[train] - 1, c_h[train] - 1, c_w[train] - 1), return_inverse=True, return_counts=True)
+        bigram = np.bincount(place, weights=(c_hw[train] - 1) / np.maximum(c_h[train] - 1, 1), minlength=len(value))
+        unigram = np.bincount(place, weights=(c_w[train] - 1).astype(float), minlength=len(value))
         more = len(value) + 1
         whole = [docs.column("doc_id").to_pylist(), out.tolist(), sizes.tolist(), known.tolist(), base.tolist(), [*_pack_codes(c_w), *_pack_codes(c_hw)]]
-        tokens, kinds = (sum(replies.column(c).to_pylist()) for c in ("tokens", "kinds"))
         return pa.Table.from_arrays(
             [
                 pa.array([0, *[1] * len(value), 2], pa.int32()),
                 *(pa.array([x, *[None] * more], schema.field(c).type) for (c, _), x in zip(lists, whole, strict=True)),
                 pa.array([None, *value.tolist(), tokens], pa.int64()),
                 pa.array([None, *n.tolist(), kinds], pa.int64()),
+                pa.array([None, *bigram.tolist(), None], pa.float64()),
+                pa.array([None, *unigram.tolist(), None], pa.float64()),
             ],
             schema=schema,
         )
@@ -214,18 +298,11 @@ class Model:
         return np.add.reduceat(np.log10(p), begins)
 
 
-def learn_weights(code: np.ndarray, n: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
-    """EM over the histogram of held-out occurrences."""
+def learn_weights(code: np.ndarray, n: np.ndarray, bigram: np.ndarray, unigram: np.ndarray, tokens: int, kinds: int) -> np.ndarray:
+    """EM over the histogram of held-out occurrences: ``n`` by bin, and sums of c(h w) / c(h) and c(w) over each bin."""
     weights = np.tile(np.array([0.4, 0.4, 0.2]), (BUCKETS, 1))
-    own, ratio, word = code >> 20, code >> 10 & 1023, code & 1023
-    p = np.stack(
-        [
-            np.where(ratio > 0, 2.0 ** (-(ratio - 1) / BINS), 0),
-            np.where(word > 0, 2.0 ** ((word - 1) / BINS), 0) / max(tokens - 1, 1),
-            np.full(len(code), 1 / (kinds + 1)),
-        ],
-        axis=1,
-    )
+    own = code >> 20
+    p = np.stack([bigram / n, unigram / n / max(tokens - 1, 1), np.full(len(code), 1 / (kinds + 1))], axis=1)
     for _ in range(EM_STEPS):
         part = weights[own] * p
         part *= (n / part.sum(axis=1))[:, None]
@@ -241,20 +318,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     small_batches(docs.sparkSession)
     size = docs.agg(input_bytes(F.col("text"))).first()[0]
-    blocks, ranges = max(1, -(-size // BLOCK_BYTES)), max(1, -(-size // RANGE_BYTES))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    # by place, so that repeated rows are dealt out too
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("long").alias("block")
     dealt = docs.select(block, "doc_id", F.coalesce("text", F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("out"))
-    requests = dealt.groupBy("block").applyInArrow(_requests(ranges), "range int, block int, n int, keys binary, counts binary")
-    replies = requests.groupBy("range").applyInArrow(_answers, "block int, range int, n int, counts binary, tokens bigint, kinds bigint")
+    replies = corpus_counts(dealt, blocks)
     kind = docs.schema["doc_id"].dataType.simpleString()
     arrow_kind = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
-    counted = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_counted(arrow_kind), _COUNTED.format(kind))
+    counted = dealt.groupBy("block").cogroup(replies.groupBy("g")).applyInArrow(_counted(arrow_kind), _COUNTED.format(kind))
     counted = stored(counted, "lm-counts")
     facts = counted.where(F.col("kind") == 2).agg(F.coalesce(F.sum("bin"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("n"), F.lit(0)).alias("kinds")).first()
-    histogram = counted.where(F.col("kind") == 1).groupBy("bin").agg(F.sum("n").alias("n")).orderBy("bin").toArrow()
-    code, n = histogram.column("bin").to_numpy(), histogram.column("n").to_numpy().astype(float)
+    histogram = counted.where(F.col("kind") == 1).groupBy("bin").agg(*[F.sum(c).alias(c) for c in ("n", "bigram", "unigram")]).orderBy("bin").toArrow()
+    code, n, bigram, unigram = (histogram.column(c).to_numpy().astype(kind) for c, kind in (("bin", np.int64), ("n", float), ("bigram", float), ("unigram", float)))
     tokens, kinds = facts["tokens"], facts["kinds"]
-    model = Model(tokens, kinds, learn_weights(code, n, tokens, kinds))
+    model = Model(tokens, kinds, learn_weights(code, n, bigram, unigram, tokens, kinds))
 
     base = float(np.log10(tokens + 0.5 * (kinds + 1)))
 

@@ -73,9 +73,10 @@ def test_lm_counts_and_scores(spark):
     assert lm_scoring.score_documents(brute.frame(spark).limit(0)).count() == 0
 
 
-def test_lm_model_is_the_mixture_it_says(spark, monkeypatch):
+@pytest.mark.parametrize("fan", [512, 3])
+def test_lm_model_is_the_mixture_it_says(spark, monkeypatch, fan):
     monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 200)
-    monkeypatch.setattr(lm_scoring, "RANGE_BYTES", 300)
+    monkeypatch.setattr(lm_scoring, "FAN", fan)
     seen = {}
     learn = lm_scoring.learn_weights
     monkeypatch.setattr(lm_scoring, "learn_weights", lambda *a: seen.setdefault("w", learn(*a)))
@@ -96,6 +97,45 @@ def test_lm_model_is_the_mixture_it_says(spark, monkeypatch):
         assert got[d] == pytest.approx(total)
 
 
+def test_lm_levels_hold_every_block():
+    for blocks in (1, 2, 136, 512, 513, 300_000, 17_000_000):
+        depth, fan = lm_scoring.levels(blocks)
+        assert fan**depth >= blocks and fan <= lm_scoring.FAN and (depth == 1 or lm_scoring.FAN ** (depth - 1) < blocks)
+    for most in (0, 3, 255, 256, 1 << 40):
+        x = np.array([0, most, 1])
+        assert lm_scoring._unpack_counts(lm_scoring._pack_counts(x), 3).tolist() == x.tolist()
+
+
+def test_lm_weights_are_those_of_exact_em(spark, monkeypatch):
+    """EM over every single held-out occurrence, in plain Python, gives nearly the weights of the binned histogram."""
+    seen = {}
+    learn = lm_scoring.learn_weights
+    monkeypatch.setattr(lm_scoring, "learn_weights", lambda *a: seen.setdefault("w", learn(*a)))
+    rng = np.random.default_rng(7)
+    rows = [(k, " ".join(f"w{int(x)}" for x in np.minimum(rng.zipf(1.4, rng.integers(5, 80)), 300)), "en", "s", 1, None, None, None) for k in range(300)]
+    lm_scoring.score_documents(brute.frame(spark, rows)).collect()
+    texts = [["\0begin", *brute.words(r[1]), "\0end"] for r in rows if zlib.crc32(str(r[0]).encode()) % 5 != 1]
+    one = Counter(w for t in texts for w in t[1:])
+    two = Counter(p for t in texts for p in zip(t, t[1:]))
+    context = one + Counter({"\0begin": len(texts)})
+    n, v = sum(one.values()), len(one)
+    weights = {}
+    held = [(context[h] - 1, two[h, w] - 1, one[w] - 1) for t in texts for h, w in zip(t, t[1:])]
+    place = [1 + int(math.log2(c)) if c else 0 for c, _, _ in held]
+    for b in set(place):
+        weights[b] = [0.4, 0.4, 0.2]
+    for _ in range(lm_scoring.EM_STEPS):
+        sums = {b: [0.0, 0.5, 0.5] for b in weights}
+        for b, (c, k, u) in zip(place, held):
+            parts = [x * y for x, y in zip(weights[b], (k / c if c else 0.0, u / (n - 1), 1 / (v + 1)))]
+            total = sum(parts)
+            sums[b] = [x + y / total for x, y in zip(sums[b], parts)]
+        weights = {b: [x / sum(own) for x in own] for b, own in sums.items()}
+    for b, own in weights.items():
+        if b:
+            assert np.abs(np.array(own) - seen["w"][b]).max() < 0.03, b
+
+
 def test_quality_keeps_the_good(spark):
     rng = np.random.default_rng(0)
     rows, labels = [], []
