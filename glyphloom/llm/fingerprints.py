@@ -6,9 +6,15 @@ length on a logarithmic scale (two bytes).  Two digests are compared by a bounde
 steps (0 to 3 apart; 3 counts double) plus the length difference, as a share of what unrelated texts
 can reach; likeness is one minus that.  Digests of equal texts are equal.
 
+``fingerprint_edits`` walks the documents in descending id.  They are dealt by ranges of (id, text's hash, place), so
+that neither an id nor a text on many rows makes a range large, and each range is one stream: a task holds a
+few MB of texts.  A range's first and last row are written with it, and a second, small step joins each
+range's last row with the first row of the next one.
+
 Defined cases: a null text counts as empty; texts of fewer than three bytes have all-zero buckets and differ
 by their length and their bytes (kept in the length part); a null doc_id sorts last; rows of one
-doc_id are ordered by text (null first); an empty table gives no rows; extra columns are ignored.
+doc_id are ordered by their texts' hashes, equal rows in any order; ids are of any type that has an order; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,15 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glyphloom.llm._arrays import row_slices, utf8
-from glyphloom.llm._storage import small_batches
+from glyphloom.llm._storage import input_bytes, small_batches, stored
 
 BUCKETS = 256
-#: Rows of a part of the id order; bounds a task.
-PART_ROWS = 20_000
+#: Bytes of text in a range, and most ranges (Spark samples 100 keys of each for their bounds): beyond that ranges grow,
+#: which a stream does not mind.
+RANGE_BYTES = 16 << 20
+MOST_RANGES = 20_000
 _MIX = np.uint32(0x9E3779B1)
 
 
@@ -81,26 +91,58 @@ def fingerprint(column: pa.Array) -> list[str]:
     return hexed(digests(column))
 
 
-def in_order(docs: DataFrame) -> DataFrame:
-    """(_part, doc_id, text, _context) in parts of descending doc_id.
+#: What is found of a document, besides its id.
+_FOUND = {"n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(), "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64()}
 
-    Each part ends with the first row of the next one, marked as context; the last part with the first row
-    of all.  Only part bounds (one id per PART_ROWS rows) come to the driver; texts move once.
-    """
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull())
-    parts = max(1, -(-docs.select(F.lit(1)).count() // PART_ROWS))
-    cuts = sorted(set(ids.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.1 / parts)), reverse=True) if parts > 1 else []
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.expr("cast(array() as array<double>)")
-    # parts 0.. hold ids above the first bound, and so on; null ids come last
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(F.size(F.filter(bounds, lambda c: F.col("doc_id") <= c)))
-    placed = docs.select(part.alias("_part"), "doc_id", "text")
-    tops = {r["_part"]: r["top"] for r in placed.groupBy("_part").agg(F.max("doc_id").alias("top")).collect()}
-    filled = sorted(tops)
-    before = {p: filled[k - 1] if k else filled[-1] for k, p in enumerate(filled)}
-    pairs = [F.when((F.col("_part") == p) & F.col("doc_id").eqNullSafe(F.lit(tops[p])), F.lit(q)) for p, q in before.items()]
-    context = F.coalesce(*pairs) if pairs else F.lit(None)
-    targets = F.array(F.struct(F.col("_part").alias("_to"), F.lit(False).alias("_context")), F.struct(context.cast("int").alias("_to"), F.lit(True).alias("_context")))
-    return placed.withColumn("_t", F.explode(targets)).where(F.col("_t._to").isNotNull()).select(F.col("_t._to").alias("_part"), "doc_id", "text", F.col("_t._context").alias("_context")), max(1, len(filled))
+
+def _edits(ids: list, texts: list[str], own: np.ndarray, kind: pa.DataType) -> dict[str, pa.Array]:
+    """The results of all but the last of consecutive documents, whose digests are ``own``."""
+    edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(texts[:-1], texts[1:], strict=True)]
+    other = digests(pa.array(edited, pa.large_string()))
+    sums = [hashlib.sha256(e.encode()).hexdigest() for e in edited]
+    found = ([len(t) for t in texts[:-1]], sums, hexed(own[:-1]), hexed(other), likeness(own[:-1], other), likeness(own[:-1], own[1:]))
+    return {"doc_id": pa.array(ids[:-1], kind)} | {c: pa.array(x, t) for (c, t), x in zip(_FOUND.items(), found, strict=True)}
+
+
+_RESULT = "doc_id {}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Which row of a range an edge is.
+FIRST, LAST = 1, 2
+
+
+def _range_edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of a range's rows but its last, and its first and last row as edges."""
+    part, carried, kind = TaskContext.get().partitionId(), None, None
+
+    def rows(found: dict[str, pa.Array], edge: int, texts: list[str] | None) -> pa.RecordBatch:
+        n = len(found["doc_id"])
+        more = [pa.array([x] * n, pa.int32()) for x in (part, edge)]
+        return pa.RecordBatch.from_arrays([*more, pa.array(texts or [None] * n, pa.string()), *found.values()], names=["part", "edge", "text", *found])
+
+    def edge(which: int, doc: object, text: str) -> pa.RecordBatch:
+        return rows({"doc_id": pa.array([doc], kind)} | {c: pa.nulls(1, t) for c, t in _FOUND.items()}, which, [text])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kind = batch.schema.field(0).type
+        ids, texts, own = batch.column(0).to_pylist(), batch.column(1).to_pylist(), digests(batch.column(1))
+        if carried is None:
+            yield edge(FIRST, ids[0], texts[0])
+        else:
+            ids, texts, own = [carried[0], *ids], [carried[1], *texts], np.vstack([carried[2], own])
+        if len(ids) > 1:
+            yield rows(_edits(ids, texts, own, kind), 0, None)
+        carried = ids[-1], texts[-1], own[-1:]
+    if carried is not None:
+        yield edge(LAST, *carried[:2])
+
+
+def _edge_edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of (doc_id, text, next text)."""
+    for batch in batches:
+        for doc, text, after in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = _edits([doc, None], [text, after], digests(pa.array([text, after])), batch.schema.field(0).type)
+            yield pa.RecordBatch.from_arrays(list(found.values()), names=list(found))
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
@@ -110,51 +152,19 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     document in descending doc_id (after the last: the first).
     """
     small_batches(docs.sparkSession)
-    rows, parts = in_order(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = rows.repartition(parts, "_part").sortWithinPartitions("_part", "_context", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        kinds: list[pa.DataType] = []
-        waiting: list[tuple] = []  # the last row, until its next is known
-        ended: set = set()
-
-        def done(pairs: list[tuple]) -> pa.RecordBatch:
-            ids, texts, after = zip(*pairs, strict=True)
-            edited = [t[: len(t) - len(t) // 2] + n[: len(t) // 2] for t, n in zip(texts, after, strict=True)]
-            own, other, nxt = digests(pa.array(texts, pa.large_string())), digests(pa.array(edited, pa.large_string())), digests(pa.array(after, pa.large_string()))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, kinds[0]),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
-                    pa.array(hexed(own)),
-                    pa.array(hexed(other)),
-                    pa.array(likeness(own, other)),
-                    pa.array(likeness(own, nxt)),
-                ],
-                names=names,
-            )
-
-        pairs, size = [], 0
-        for batch in batches:
-            kinds[:] = [batch.schema.field(1).type]
-            for part, doc, text, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                text = text or ""
-                if part in ended:
-                    continue
-                if waiting:
-                    pairs.append((*waiting.pop()[1:], text))
-                    size += len(text)
-                if context:
-                    ended.add(part)  # further context rows repeat the id of the first
-                else:
-                    waiting.append((part, doc, text))
-                if size > 1 << 21:
-                    yield done(pairs)
-                    pairs, size = [], 0
-        if pairs:
-            yield done(pairs)
-
-    return dealt.mapInArrow(run, f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    size = docs.agg(input_bytes(F.col("text"))).first()[0]
+    ranges = max(1, min(MOST_RANGES, -(-size // RANGE_BYTES)))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_place"))
+    order = [F.desc_nulls_last("doc_id"), F.asc("_hash"), F.asc("_place")]
+    dealt = keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    found = stored(dealt.mapInArrow(_range_edits, f"part int, edge int, text string, {_RESULT.format(kind)}"), "fingerprints")
+    firsts = found.where(F.col("edge") == FIRST).select(F.col("part").alias("_next"), F.col("text").alias("_after"))
+    # one row for each range, MOST_RANGES at most: the next range that has rows, after the last the first
+    everything = W.partitionBy(F.lit(0))
+    following = F.coalesce(F.lead("_next").over(everything.orderBy("_next")), F.min("_next").over(everything))
+    nexts = firsts.select(F.col("_next").alias("part"), following.alias("_next"))
+    lasts = found.where(F.col("edge") == LAST).select("part", "doc_id", "text")
+    edges = lasts.join(nexts, "part").join(firsts, "_next").select("doc_id", "text", "_after").mapInArrow(_edge_edits, _RESULT.format(kind))
+    return found.where("edge = 0").drop("part", "edge", "text").unionByName(edges)
