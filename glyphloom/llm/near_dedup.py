@@ -169,7 +169,8 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
     wanted = wanted.select("set_key", F.col("d.doc_id").alias("_id"), F.col("d._text_key").alias("_key")).hint("merge")
     rows = docs.select("doc_id", "text", "_text_key")
     texts = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))).groupBy("set_key").agg(F.first("text").alias("text"))
-    fan = near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FANOUT).cast("int").alias("_salts"))
+    # written, so that the join with it has nothing between it and its shuffle and a leader with many partners can be split
+    fan = stored(near.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / FANOUT).cast("int").alias("_salts")), "near-fan")
     salt = F.pmod(F.xxhash64("a"), F.col("_salts")).cast("int").alias("salt")
     partners = _merge(_merge(near.select("a", "b"), fan, "b").select("b", salt, "a"), texts.select(F.col("set_key").alias("a"), "text"), "a").select("b", "salt", F.lit(1).alias("kind"), "a", "text")
     leaders = _merge(fan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))), texts.select(F.col("set_key").alias("b"), "text"), "b").select("b", "salt", F.lit(0).alias("kind"), F.col("b").alias("a"), "text")
@@ -199,7 +200,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
             yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.binary()), pa.array(found[1], pa.binary())], names=["a", "b"])
 
     links = stored(both.mapInArrow(run, "a binary, b binary"), "near-links")
-    dropped(near)
+    dropped(near, fan)
     return links
 
 
