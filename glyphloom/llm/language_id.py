@@ -7,9 +7,9 @@ of the largest share that any language gives them.  Shares add up to one, so a l
 filter: every slot holds one bit for each language, and the AND of an n-gram's slots gives all the
 languages that contain it at once.  A text's n-grams are counted by language; each language's count
 is corrected for the rate at which its own filter answers for n-grams it lacks, and the largest
-corrected share decides (ties: first in code-point order).  The score is that share's part of the two
-largest together; a text without any known n-gram gets the language with most training n-grams, scored by
-its part of them.
+corrected share decides (ties: first in code-point order).  The score is that share times its part of the two
+largest together: near 1 for a text all of whose n-grams are known in one language alone, small for a text in none and
+for an even mixture.  A text without any known n-gram gets the language with most training n-grams, at score 0.
 
 Texts are lower-cased and everything but letters is one blank.  Neither lang nor source nor doc_id is used for a
 prediction.  Defined cases: a null text, or one without a letter, is ``und`` with score 0; without
@@ -78,16 +78,16 @@ class Model:
             out += [both >> word.dtype.type(b) & word.dtype.type(1) != 0 for b in range(min(64, len(self.languages) - first))]
         return np.array(out)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[float]]:
-        """Language, score, and the absolute evidence: the best language's corrected share of the n-grams and its margin over the second's."""
-        names, scores, shares, margins = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Language and score by text."""
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         known, parts = [], []
         for k, text in enumerate(texts):
             if text is not None and self.languages and has_letter(text):
                 known.append(k)
                 parts.append(grams(normalised(text)))
         if not known:
-            return names, scores, shares, margins
+            return names, scores
         sizes = np.array([len(p) for p in parts])
         begins = np.cumsum(sizes) - sizes
         counts = np.add.reduceat(self.hits(np.concatenate(parts)).astype(np.int64), begins, axis=1)
@@ -96,11 +96,11 @@ class Model:
         top = share[best, np.arange(len(known))]
         share[best, np.arange(len(known))] = -1
         second = np.maximum(0, share.max(axis=0)) if len(share) > 1 else np.zeros(len(known))
-        score = np.where(top > 0, top / np.maximum(top + second, 1e-12), self.prior.max())
+        score = np.where(top > 0, top * top / np.maximum(top + second, 1e-12), 0.0)
         best = np.where(top > 0, best, self.prior.argmax())
-        for k, b, s, t, m in zip(known, best, score, top, top - second, strict=True):
-            names[k], scores[k], shares[k], margins[k] = self.languages[b], float(s), float(t), float(m)
-        return names, scores, shares, margins
+        for k, b, s in zip(known, best, score, strict=True):
+            names[k], scores[k] = self.languages[b], float(s)
+        return names, scores
 
 
 def has_letter(text: str) -> bool:
@@ -185,37 +185,36 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), evidence: bool = False) -> DataFrame:
-    """``columns`` of every row with lang_pred and score; with ``evidence``, also _share and _margin."""
+def predict(docs: DataFrame, model: Model, columns: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
+    """``columns`` of every row with lang_pred and score, named with ``prefix``."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    told = ["score", "_share", "_margin"] if evidence else ["score"]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
+    told = (f"{prefix}lang_pred", f"{prefix}score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             texts = batch.column(batch.num_columns - 1).to_pylist()
             names: list[str] = []
-            numbers: tuple[list[float], ...] = ([], [], [])
+            scores: list[float] = []
             a = 0
             while a < len(texts):
                 b, chars = a, 0
                 while b < len(texts) and (b == a or chars + len(texts[b] or "") <= _GROUP_CHARS):
                     chars += len(texts[b] or "")
                     b += 1
-                n, *found = m.predict(texts[a:b])
-                names += n
-                for have, new in zip(numbers, found, strict=True):
-                    have += new
+                found = m.predict(texts[a:b])
+                names += found[0]
+                scores += found[1]
                 a = b
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), *(pa.array(x, pa.float64()) for x in numbers[: len(told)])], names=[*columns, "lang_pred", *told])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*columns, *told])
 
-    return docs.select(*columns, F.col("text").alias("_text")).mapInArrow(run, f"{schema}, lang_pred string, {', '.join(f'{c} double' for c in told)}")
+    return docs.select(*columns, F.col("text").alias("_language_text")).mapInArrow(run, f"{schema}{told[0]} string, {told[1]} double")
 
 
-def identify(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), evidence: bool = False) -> DataFrame:
+def identify(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), prefix: str = "") -> DataFrame:
     """Train on the rows that aren't held out, predict all of them."""
     model = train(docs.where(~held_out(F.col("doc_id"))).select("lang", "text"))
-    return predict(docs, model, columns, evidence)
+    return predict(docs, model, columns, prefix)

@@ -136,7 +136,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float
     return taken_copies(sized, limits, few)
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """Every document as many times as the mix takes it."""
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
+    """The rows of ``docs``, with all columns as they are, each as many times as the mix takes it."""
+    packed = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_document"))
+    mixed = mix_sources(packed, weights, most, carry=("_document",))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")
-    return mixed.where(F.col("copies") > 0).select(*columns, times).drop("_copy")
+    return mixed.where(F.col("copies") > 0).select("_document", times).select("_document.*")

@@ -1,27 +1,31 @@
 """Quality classification by co-training two views of a document.
 
-The text view sees the content alone (shares of byte classes, word and line repetition, word lengths); the
-metadata view sees source, lang and n_chars alone.  Each is a logistic regression.  They start from the
-labelled documents; in every round each view labels the unlabelled documents it is confident of, and the
-other view learns from them too (at a lower weight).  At the end each view is calibrated on labelled
-documents that no view was fitted on, and a small logistic model combines the calibrated views.
-Every document of the table is scored; ``keep`` is ``score >= KEEP``.
-
-What is fitted on is bounded: at most ``max_labels`` labelled rows (the smallest hashes of doc_id) and
-about ``max_pool`` unlabelled ones (by a hash condition).  Scoring has no bound.
-
-Defined cases: a null text counts as empty; null source, lang or n_chars are values of their own (n_chars
-falls back to the text's length); labels without a document or with a null are left out, several labels of
-a document vote and a tie is left out; without labels of both kinds every document is kept with the
-share of good labels (1 without any) as its score; repeated rows are scored row by row; extra columns pass
-through.  An empty table gives no rows.
+The text view sees the content alone (shares of byte classes, word and line repetition, word lengths): a logistic
+regression.  The metadata view sees source, lang and n_chars alone, and their pairs: log odds of its slots, from
+counts.  They start from the labelled documents; in every round each view labels the unlabelled documents
+it is confident of, and the other view learns from them too: good and bad in the proportion of the labelled rows,
+and with no more weight in all than the labelled rows, or ``PSEUDO_MOST`` rows.  At the end each view is
+calibrated, and a small logistic model combines the calibrated views, both on labelled documents that no
+view was fitted on, each on its own part.  Every document of the table is scored; ``keep`` is ``score >= KEEP``.
+
+Only the labelled rows that are fitted on are bounded: at most ``max_labels`` rows (a parameter) by a hash of id and
+place; they come to the driver.  All other rows of the table take part in every round: a pass over the table
+of features adds up, in each task, what a Newton step of the text view and the counts of the metadata view need,
+some two thousand numbers, and Spark sums these by key.  Features are computed once and stored without texts
+where the caller doesn't carry them.
+
+Defined cases: a null text counts as empty; null source, lang or n_chars are values of their own; labels without
+a document or with a null are left out, several labels of a document vote and a tie is left out; without
+labels of both kinds every document is kept with the share of good labels (1 without any) as its score; where
+a part of the labelled rows lacks a kind, all labelled rows stand in for it; repeated rows are scored row
+by row; rows of a null id are unlabelled; extra columns pass through.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphloom.llm._arrays import U64, row_slices, span_hashes, utf8, words_of
-from glyphloom.llm._storage import small_batches
+from glyphloom.llm._storage import small_batches, stored
 
 MAX_LABELS = 20_000
-MAX_POOL = 20_000
-ROUNDS = 4
-#: Calibrated probability from which a view passes its label on, and the weight of such a label.
-CONFIDENT = 0.95
+ROUNDS = 3
+#: Newton steps of a round, from weights of 0, where they do not overshoot.
+STEPS = 4
+#: Calibrated probability from which a view passes its label on; the weight of such a label, and of all of them.
+CONFIDENT = 0.9
 PSEUDO_WEIGHT = 0.3
+PSEUDO_MOST = 5_000
 KEEP = 0.5
 
 _CLASSES = np.full(256, 7, np.uint8)  # letters beyond ASCII
@@ -47,7 +53,9 @@ for _k, _set in enumerate((range(65, 91), range(97, 123), range(48, 58), (32, 9)
 _CLASSES[list(b".,;:'\"?()-")] = 6
 _BANG, _PIPE = 33, 124
 TEXT_FEATURES = 20
-META_FEATURES = 64 + 16 + 4
+#: Slots of the metadata view: source, lang, size, source with lang, source with size.
+SLOTS = (256, 64, 32, 1024, 1024)
+_FIRST = np.concatenate([[0], np.cumsum(SLOTS)])
 
 
 def text_features(column: pa.Array) -> np.ndarray:
@@ -111,18 +119,46 @@ def _slot(value: str | None, slots: int) -> int:
     return 0 if value is None else 1 + zlib.crc32(value.encode()) % (slots - 1)
 
 
-def meta_features(source: pa.Array, lang: pa.Array, chars: pa.Array, text: pa.Array) -> np.ndarray:
-    """One row of META_FEATURES numbers for each document, from its metadata alone."""
-    out = np.zeros((len(source), META_FEATURES))
-    rows = np.arange(len(source))
-    for column, first, slots in ((source, 0, 64), (lang, 64, 16)):
+def meta_slots(source: pa.Array, lang: pa.Array, chars: pa.Array) -> np.ndarray:
+    """The slot of each document in each of SLOTS, from its metadata alone."""
+
+    def coded(column: pa.Array, slots: int) -> np.ndarray:
         names = pc.cast(column, pa.string()).to_pylist()
-        slot = {v: first + _slot(v, slots) for v in set(names)}
-        out[rows, [slot[v] for v in names]] = 1
-    fallback = pc.utf8_length(pc.fill_null(text, ""))
-    n = pc.fill_null(pc.coalesce(pc.cast(chars, pa.int64()), pc.cast(fallback, pa.int64())), 0).to_numpy(zero_copy_only=False)
-    size = np.log1p(np.maximum(n, 0).astype(float))
-    out[:, 80], out[:, 81], out[:, 82], out[:, 83] = size / 10, (size / 10) ** 2, size < 4, size > 10
+        slot = {v: _slot(v, slots) for v in set(names)}
+        return np.array([slot[v] for v in names], np.int64)
+
+    a, b = coded(source, SLOTS[0]), coded(lang, SLOTS[1])
+    n = pc.fill_null(pc.cast(chars, pa.int64()), -1).to_numpy(zero_copy_only=False)
+    size = np.where(n < 0, 0, 1 + np.minimum(SLOTS[2] - 2, np.log2(np.maximum(n, 1)).astype(np.int64)))
+    pair = lambda x, y, slots: (x * 0x9E3779B1 + y * 0x85EBCA77) % slots
+    return (np.stack([a, b, size, pair(a, b, SLOTS[3]), pair(a, size, SLOTS[4])], axis=1) + _FIRST[:-1]).astype(np.int64)
+
+
+@dataclass
+class Odds:
+    """Log odds of good, added up over the slots of a row, each shrunk to the share of good in all."""
+
+    table: np.ndarray = field(default_factory=lambda: np.zeros(_FIRST[-1]))
+    prior: float = 0.0
+    shrink: float = 4.0
+
+    def fit(self, counts: np.ndarray) -> Odds:
+        """``counts``: 2 x slots, of bad and of good."""
+        bad, good = counts
+        share = (good[: SLOTS[0]].sum() + 0.5) / (counts[:, : SLOTS[0]].sum() + 1)
+        odds = np.log(good + self.shrink * share) - np.log(bad + self.shrink * (1 - share))
+        prior = float(np.log(share / (1 - share)))
+        return replace(self, table=odds - prior, prior=prior)
+
+    def logit(self, slots: np.ndarray) -> np.ndarray:
+        return np.clip(self.prior + self.table[slots].sum(axis=1), -30, 30)
+
+
+def slot_counts(slots: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """2 x slots: weights of bad and good rows."""
+    out = np.zeros((2, _FIRST[-1]))
+    for column in slots.T:
+        np.add.at(out, (label.astype(np.int64), column), weight)
     return out
 
 
@@ -140,23 +176,31 @@ class Logistic:
         z = np.clip((x - self.mean) / self.scale, -6, 6)
         return np.hstack([z, z**2, np.ones((len(z), 1))] if self.squares else [z, np.ones((len(z), 1))])
 
-    def fit(self, x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> Logistic:
-        w = np.ones(len(x)) if w is None else w
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+    def begin(self, x: np.ndarray) -> Logistic:
+        """Standardised by ``x``, all weights 0."""
+        start = replace(self, mean=x.mean(axis=0), scale=x.std(axis=0) + 1e-6)
+        return replace(start, weights=np.zeros(start._inputs(x[:1]).shape[1]))
+
+    def sums(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What a step needs of some rows: their gradient and curvature."""
         z = self._inputs(x)
-        beta, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], self.ridge)
+        p = _sigmoid(np.clip(z @ self.weights, -30, 30))
+        return z.T @ (w * (y - p)), (z * (w * np.maximum(p * (1 - p), 1e-5))[:, None]).T @ z
+
+    def step(self, gradient: np.ndarray, curve: np.ndarray) -> Logistic:
+        penalty = np.full(len(self.weights), self.ridge)
         penalty[-1] = 1e-3
+        move = np.linalg.solve(curve + np.diag(penalty), gradient - penalty * self.weights)
+        return replace(self, weights=self.weights + move * min(1.0, 4 / max(1e-9, np.abs(move).max())))
+
+    def fit(self, x: np.ndarray, y: np.ndarray) -> Logistic:
+        now, ones = self.begin(x), np.ones(len(x))
         for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
-            gradient = z.T @ (w * (y - p)) - penalty * beta
-            curve = (z * (w * np.maximum(p * (1 - p), 1e-5))[:, None]).T @ z + np.diag(penalty)
-            step = np.linalg.solve(curve, gradient)
-            step *= min(1.0, 4 / max(1e-9, np.abs(step).max()))
-            beta += step
-            if np.abs(step).max() < 1e-6:
+            new = now.step(*now.sums(x, y, ones))
+            done, now = np.abs(new.weights - now.weights).max() < 1e-6, new
+            if done:
                 break
-        self.weights = beta
-        return self
+        return now
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self._inputs(x) @ self.weights, -30, 30)
@@ -171,99 +215,212 @@ class CoTrained:
     """Both views, their calibration and their combination; ``base`` alone where labels were too few."""
 
     base: float = 1.0
-    views: tuple[Logistic, Logistic] | None = None
+    views: tuple[Logistic, Odds] | None = None
     calibration: tuple[Logistic, Logistic] | None = None
     combination: Logistic | None = None
 
-    def view_logits(self, features: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-        return [c.logit(v.logit(x)[:, None]) for v, c, x in zip(self.views, self.calibration, features, strict=True)]
+    def view_logits(self, text: np.ndarray, slots: np.ndarray) -> list[np.ndarray]:
+        return [c.logit(v.logit(x)[:, None]) for v, c, x in zip(self.views, self.calibration, (text, slots), strict=True)]
 
-    def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(self, text: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.views is None:
             same = np.full(len(text), self.base)
             return same, same, same
-        logits = self.view_logits((text, meta))
+        logits = self.view_logits(text, slots)
         return _sigmoid(logits[0]), _sigmoid(logits[1]), _sigmoid(self.combination.logit(np.stack(logits, axis=1)))
 
+    def pseudo_labels(self, text: np.ndarray, slots: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each view the label that it is given by the other, and its weight: 0 where the other isn't confident."""
+        out = []
+        for logit in reversed(self.view_logits(text, slots)):
+            p = _sigmoid(logit)
+            out.append(((p >= 0.5).astype(float), np.where((p >= CONFIDENT) | (p <= 1 - CONFIDENT), PSEUDO_WEIGHT, 0.0)))
+        return out
 
-def co_train(features: tuple[np.ndarray, np.ndarray], label: np.ndarray, fold: np.ndarray, rounds: int = ROUNDS) -> CoTrained:
-    """``label``: 1, 0, or -1 for unlabelled; ``fold`` 0 of 4 calibrates, the others fit."""
-    known = label >= 0
-    base = float(label[known].mean()) if known.any() else 1.0
-    fit, calibrate = known & (fold != 0), known & (fold == 0)
-    if min(len(set(label[fit])), len(set(label[calibrate]))) < 2:
-        return CoTrained(base)
-    pool = np.flatnonzero(~known)
-    given: list[dict[int, int]] = [{}, {}]  # pseudo-labels that each view got from the other
-    for turn in range(rounds + 1):
-        views, scales = [], []
-        for k in (0, 1):
-            extra = np.array(sorted(given[k]), np.int64)
-            rows = np.concatenate([np.flatnonzero(fit), extra])
-            y = np.concatenate([label[fit], [given[k][r] for r in extra]]).astype(float)
-            w = np.concatenate([np.ones(fit.sum()), np.full(len(extra), PSEUDO_WEIGHT)])
-            views.append(Logistic(squares=k == 0).fit(features[k][rows], y, w))
-            scales.append(Logistic(squares=False, ridge=0.1).fit(views[k].logit(features[k][calibrate])[:, None], label[calibrate].astype(float)))
-        if turn == rounds or not len(pool):
-            break
-        for k in (0, 1):
-            p = _sigmoid(scales[k].logit(views[k].logit(features[k][pool])[:, None]))
-            for r, s in zip(pool, p, strict=True):
-                if s >= CONFIDENT or s <= 1 - CONFIDENT:
-                    given[1 - k].setdefault(int(r), int(s >= 0.5))
-    model = CoTrained(base, tuple(views), tuple(scales))
-    logits = model.view_logits(tuple(x[calibrate] for x in features))
-    model.combination = Logistic(squares=False, ridge=0.1).fit(np.stack(logits, axis=1), label[calibrate].astype(float))
-    return model
-
-
-def _view_columns() -> list:
-    return [F.col("text").alias("_text"), F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("n_chars").cast("long").alias("_chars")]
 
+@dataclass
+class Labelled:
+    """The bounded labelled rows on the driver: features, slots, labels, and the part of each row."""
+
+    text: np.ndarray
+    slots: np.ndarray
+    label: np.ndarray
+    part: np.ndarray
+
+    def of(self, parts: tuple[int, ...]) -> np.ndarray:
+        """Rows of ``parts``, or all if a kind of label is missing there."""
+        own = np.isin(self.part, parts)
+        return np.flatnonzero(own) if len(set(self.label[own])) == 2 else np.arange(len(self.label))
+
+
+#: Of eight parts by hash of the id: those that calibrate the views, and those that fit their combination.
+CALIBRATING, COMBINING = (0, 1), (2, 3)
+FITTING = (4, 5, 6, 7)
+#: Columns of a table of features, besides those carried.
+OWN = ("_quality_id", "_quality_text", "_quality_slots")
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_labels: int, max_pool: int) -> DataFrame:
-    """The bounded rows to fit on: doc_id's hash as fold, label (-1: unlabelled) and the columns of both views."""
-    votes = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("q"))
-    votes = votes.where(F.col("q") != 0.5).select("doc_id", F.when(F.col("q") > 0.5, 1).otherwise(0).alias("_label"))
-    chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    per = max(1, -(-docs.select(F.lit(1)).count() // max(1, max_pool)))
-    joined = docs.select("doc_id", "text", "source", "lang", "n_chars").join(F.broadcast(chosen), "doc_id", "left")
-    pooled = F.col("_label").isNotNull() | (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(per)) == 0)
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)).cast("int").alias("_fold")
-    return joined.where(pooled).select(F.coalesce("_label", F.lit(-1)).cast("int").alias("_label"), fold, *_view_columns())
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col("text").alias("_text"), F.col("source").alias("_source"), F.col("lang").alias("_lang"), F.col("n_chars").cast("long").alias("_chars")]
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> CoTrained:
+def featured(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``columns`` of every row, with the columns OWN: id and the features of both views, as a scratch table."""
     small_batches(docs.sparkSession)
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in columns)
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.hstack([text_features(b.column(2)), meta_features(b.column(3), b.column(4), b.column(5), b.column(2))]).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["label", "fold", "x"])
+            text, source, lang, chars = b.columns[-4:]
+            x, s = text_features(text).astype(np.float32), meta_slots(source, lang, chars).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-4], *(pa.array([r.tobytes() for r in m], pa.binary()) for m in (x, s))], names=[*columns, *OWN])
+
+    slim = docs.select(*columns, F.col("doc_id").alias(OWN[0]), *_columns(docs))
+    return stored(slim.mapInArrow(run, f"{schema}{OWN[0]} {kind}, {OWN[1]} binary, {OWN[2]} binary"), "quality-features")
 
-    table = training_rows(docs, labels, max_labels, max_pool).mapInArrow(features, "label int, fold int, x binary").toArrow()
-    if not table.num_rows:
-        return CoTrained()
-    x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(table.num_rows, -1)
+
+def _matrices(x: pa.Array, slots: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    of = lambda c, kind, width: np.frombuffer(b"".join(c.to_pylist()), kind).reshape(-1, width)
+    return of(x, np.float32, TEXT_FEATURES).astype(float), of(slots, np.int32, len(SLOTS)).astype(np.int64)
+
+
+def _votes(labels: DataFrame, max_labels: int) -> DataFrame:
+    """(_labelled, _label): the labelled ids with the smallest hashes."""
+    votes = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("q"))
+    votes = votes.where(F.col("q") != 0.5).select(F.col("doc_id").alias("_labelled"), F.when(F.col("q") > 0.5, 1).otherwise(0).alias("_label"))
+    return stored(votes.orderBy(F.xxhash64("_labelled"), "_labelled").limit(max_labels), "quality-labels")
+
+
+def labelled_rows(features: DataFrame, votes: DataFrame, max_labels: int) -> Labelled:
+    """At most ``max_labels`` labelled rows, whatever the number of rows of an id."""
+    rows = features.select(*OWN).join(F.broadcast(votes), F.col(OWN[0]) == F.col("_labelled"))
+    part = F.pmod(F.xxhash64(OWN[0], F.lit(5)), F.lit(8)).cast("int").alias("part")
+    own = rows.select(F.col("_label").alias("label"), part, F.col(OWN[1]).alias("x"), F.col(OWN[2]).alias("slots"), F.pmod(F.xxhash64(OWN[0], F.monotonically_increasing_id()), F.lit(1 << 30)).alias("place"))
+    n = own.count()
+    if n > max_labels:
+        own = own.where(F.col("place") < int((1 << 30) * 0.95 * max_labels / n)).limit(max_labels)
+    table = own.drop("place").toArrow()
+    text, slots = _matrices(table.column("x"), table.column("slots"))
+    label, part = table.column("label").to_numpy(), table.column("part").to_numpy()
     # rows come in any order: a fixed one gives the same model each time
-    label, fold = table.column("label").to_numpy(), table.column("fold").to_numpy()
-    order = np.lexsort((*x.T[:20], fold, label))
-    x, label, fold = x[order].astype(float), label[order], fold[order]
-    return co_train((x[:, :TEXT_FEATURES], x[:, TEXT_FEATURES:]), label, fold, rounds)
+    order = np.lexsort((*text.T, *slots.T, part, label))
+    return Labelled(text[order], slots[order], label[order].astype(float), part[order])
+
+
+@dataclass
+class Sums:
+    """What the rows of one pseudo-label, bad or good, add up to: weight, gradient and curvature; and slot counts."""
+
+    weight: np.ndarray
+    gradient: np.ndarray
+    curve: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def empty(size: int) -> Sums:
+        return Sums(np.zeros(2), np.zeros((2, size)), np.zeros((2, size, size)), np.zeros((2, _FIRST[-1])))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in (self.weight, self.gradient, self.curve, self.counts)])
 
+    @staticmethod
+    def of(flat: np.ndarray, size: int) -> Sums:
+        out, at = Sums.empty(size), 0
+        for x in (out.weight, out.gradient, out.curve, out.counts):
+            x[...] = flat[at : at + x.size].reshape(x.shape)
+            at += x.size
+        return out
 
-def score(docs: DataFrame, model: CoTrained, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` of every row, with text_score, meta_score, quality_score and keep."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+
+def _scale(weight: np.ndarray, share: float, most: float) -> np.ndarray:
+    """Factors of bad and good that give them the labelled proportion and at most ``most`` in all; 0 where one is missing."""
+    if not weight.all():
+        return np.zeros(2)
+    return np.array([1 - share, share]) * min(weight.sum(), most) / weight
+
+
+def _summed(rows: DataFrame, model: CoTrained, now: Logistic) -> Sums:
+    """Over all rows with pseudo-labels: what a step of the text view from ``now`` needs, and the other's counts."""
+    size = len(now.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Sums.empty(size)
         for b in batches:
-            text, source, lang, chars = b.columns[-4:]
-            found = shared.value.score(text_features(text), meta_features(source, lang, chars, text))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-4], *(pa.array(f, pa.float64()) for f in found), pa.array(found[2] >= KEEP)], names=[*columns, "text_score", "meta_score", "quality_score", "keep"])
+            if not b.num_rows:
+                continue
+            text, slots = _matrices(*b.columns)
+            (y, w), (z, v) = model.pseudo_labels(text, slots)
+            for kind in (0, 1):
+                some = (w > 0) & (y == kind)
+                total.weight[kind] += w[some].sum()
+                gradient, curve = now.sums(text[some], y[some], w[some])
+                total.gradient[kind] += gradient
+                total.curve[kind] += curve
+            total.counts += slot_counts(slots[v > 0], z[v > 0], v[v > 0])
+        flat = total.flat()
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(flat[at])], names=["k", "v"])
+
+    found = rows.mapInArrow(run, "k bigint, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
+    flat = Sums.empty(size).flat()
+    flat[found.column("k").to_numpy()] = found.column("v").to_numpy()
+    return Sums.of(flat, size)
+
+
+def co_train(known: Labelled, unlabelled: DataFrame, rounds: int = ROUNDS) -> CoTrained:
+    """``unlabelled``: rows of the features of both views."""
+    base = float(known.label.mean()) if len(known.label) else 1.0
+    if len(set(known.label)) < 2:
+        return CoTrained(base)
+    fit, scale, joint = (known.of(parts) for parts in (FITTING, CALIBRATING, COMBINING))
+    text, slots, label = known.text[fit], known.slots[fit], known.label[fit]
+    most = max(len(fit), PSEUDO_MOST)
+    ones, own_counts = np.ones(len(fit)), slot_counts(known.slots[fit], known.label[fit], np.ones(len(fit)))
+
+    def calibrated(view: Logistic, odds: Odds) -> CoTrained:
+        inputs = (view.logit(known.text[scale]), odds.logit(known.slots[scale]))
+        return CoTrained(base, (view, odds), tuple(Logistic(squares=False, ridge=0.1).fit(x[:, None], known.label[scale]) for x in inputs))
+
+    model = calibrated(Logistic().fit(text, label), Odds().fit(own_counts))
+    for _ in range(rounds):
+        now, odds = Logistic().begin(text), model.views[1]
+        for turn in range(STEPS):
+            found = _summed(unlabelled, model, now)
+            factor = _scale(found.weight, base, most)
+            gradient, curve = now.sums(text, label, ones)
+            now = now.step(gradient + factor @ found.gradient, curve + np.tensordot(factor, found.curve, 1))
+            if turn == 0:
+                factor = _scale(found.counts[:, : SLOTS[0]].sum(axis=1), base, most)
+                odds = Odds().fit(own_counts + factor[:, None] * found.counts)
+        model = calibrated(now, odds)
+    logits = model.view_logits(known.text[joint], known.slots[joint])
+    return replace(model, combination=Logistic(squares=False, ridge=0.1).fit(np.stack(logits, axis=1), known.label[joint]))
+
+
+def fitted(features: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, rounds: int = ROUNDS) -> CoTrained:
+    """The model of a table of features (``featured``) and labels (doc_id, quality)."""
+    votes = _votes(labels, max_labels)
+    known = labelled_rows(features, votes, max_labels)
+    others = features.select(*OWN).join(F.broadcast(votes), F.col(OWN[0]) == F.col("_labelled"), "left_anti")
+    return co_train(known, others.select(*OWN[1:]), rounds)
+
+
+def scored(features: DataFrame, model: CoTrained, columns: tuple[str, ...], prefix: str = "") -> DataFrame:
+    """``columns`` of a table of features, with text_score, meta_score, quality_score and keep, named with ``prefix``."""
+    shared = features.sparkSession.sparkContext.broadcast(model)
+    schema = "".join(f"`{c}` {features.schema[c].dataType.simpleString()}, " for c in columns)
+    told = [f"{prefix}{c}" for c in ("text_score", "meta_score", "quality_score", "keep")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = shared.value.score(*_matrices(*b.columns[-2:]))
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], *(pa.array(f, pa.float64()) for f in found), pa.array(found[2] >= KEEP)], names=[*columns, *told])
+
+    return features.select(*columns, *OWN[1:]).mapInArrow(run, f"{schema}{told[0]} double, {told[1]} double, {told[2]} double, {told[3]} boolean")
+
 
-    slim = docs.select(*columns, *_view_columns())
-    return slim.mapInArrow(run, f"{schema}, text_score double, meta_score double, quality_score double, keep boolean")
+def classify(docs: DataFrame, labels: DataFrame, columns: tuple[str, ...] = ("doc_id",), max_labels: int = MAX_LABELS, rounds: int = ROUNDS, prefix: str = "") -> DataFrame:
+    """``columns`` of every row of ``docs``, with text_score, meta_score, quality_score and keep, named with ``prefix``."""
+    features = featured(docs, columns)
+    return scored(features, fitted(features, labels, max_labels, rounds), columns, prefix)

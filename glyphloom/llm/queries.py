@@ -52,8 +52,7 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
