@@ -14,21 +14,21 @@ from glyphloom.llm import language_id, mixing, near_dedup, packing, quality
 from glyphloom.llm._storage import stored
 from glyphloom.llm.queries import tokenizer_path
 
-#: A language is believed from this score on.
-MIN_LANGUAGE_SCORE = 0.5
-#: And only with this share of its n-grams in the text, and this margin over the second language's share: text in no known
-#: language has next to no share, an even mixture no margin.
-MIN_LANGUAGE_SHARE, MIN_LANGUAGE_MARGIN = 0.25, 0.1
+#: A language is believed from this score on.  The score is the share of the text's n-grams that the language knows, times
+#: that share's part of the best two: text in no known language has next to no share, an even mixture of two gets a quarter.
+MIN_LANGUAGE_SCORE = 0.25
+#: What the stages add, while they decide, is named so that no column of the documents is hidden by it.
+PREFIX = "_pipeline_"
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model, tuple(docs.columns)).where("keep").select(*docs.columns)
+    found = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), tuple(docs.columns), prefix=PREFIX)
+    return found.where(f"{PREFIX}keep").select(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.identify(docs, tuple(docs.columns), evidence=True)
-    sure = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE) & (F.col("_share") >= MIN_LANGUAGE_SHARE) & (F.col("_margin") >= MIN_LANGUAGE_MARGIN)
+    found = language_id.identify(docs, tuple(docs.columns), prefix=PREFIX)
+    sure = (F.col(f"{PREFIX}lang_pred") != language_id.UNKNOWN) & (F.col(f"{PREFIX}score") >= MIN_LANGUAGE_SCORE)
     return found.where(sure).select(*docs.columns)
 
 
@@ -37,7 +37,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeated(mixing.mix_sources(docs), docs.columns)
+    return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
