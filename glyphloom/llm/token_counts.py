@@ -4,10 +4,10 @@ Rows arrive in Arrow batches and are taken in groups of about equal bytes.  Text
 boundaries that byte-level BPE with the usual pre-token pattern can never join: before a single space that
 a visible character follows, around other white space, and between an ASCII letter and ASCII punctuation
 other than the apostrophe.  A place is used only if the bytes around it prove it safe.  The
-distinct pieces of a group are looked up by their bytes in a bounded memo of the worker; those it lacks are
-encoded in batches of balanced bytes.  Hashes only find repeated pieces within a group, and each repeat is
-compared with the first byte for byte, so no collision can change a count.  Only lengths are kept (ids where a
-caller asks).  Texts that hold a special string are encoded whole; the other texts of their group in pieces.
+distinct pieces of a group are looked up by hash in a bounded memo of the worker; those it lacks are encoded in
+batches of balanced bytes.  Every piece of a text is then compared byte for byte with what the memo answered
+for, and encoded by itself where they differ, so no collision can change a count.  Only lengths are kept (ids where
+a caller asks).  Texts that hold a special string are encoded whole; the other texts of their group in pieces.
 
 ``counter`` chooses the library by the file: tokenizers for ``.json``, sentencepiece for ``.model``
 (whole texts there: its normaliser knows no safe cut).  Begin, end and other added tokens are left out;
@@ -28,14 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphloom.llm._arrays import row_slices, span_hashes, utf8
+from glyphloom.llm._arrays import U64, row_slices, span_hashes, utf8
 from glyphloom.llm._storage import small_batches
 
 #: Bytes of text taken together, and bytes of distinct pieces that one call of the library gets.
 GROUP_BYTES = 1 << 21
 BATCH_BYTES = 1 << 18
 #: Pieces in a worker's memo; beyond that it starts again.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 2_000_000
 
 _table = lambda *ranges: np.isin(np.arange(256), [b for r in ranges for b in r])
 _WHITE = _table(range(9, 14), [32])
@@ -62,8 +62,21 @@ def piece_starts(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.array, self.used = np.zeros(1024, kind), 0
+
+    def add(self, more: np.ndarray) -> None:
+        while len(self.array) < self.used + len(more):
+            self.array = np.concatenate([self.array, np.zeros_like(self.array)])
+        self.array[self.used : self.used + len(more)] = more
+        self.used += len(more)
+
+
 class Memo:
-    """Piece lengths, or ids, by the piece's bytes, for one tokenizer file; shared by the tasks of a worker."""
+    """Piece lengths, or ids, by hash and bytes, for one tokenizer file; shared by the tasks of a worker."""
 
     def __init__(self, path: str, ids: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -76,9 +89,10 @@ class Memo:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.length, self.start = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(1024, np.uint32), 0
+        self.key, self.slot = np.zeros(0, U64), np.zeros(0, np.int32)
+        # by slot: how many ids and where, how many bytes and where
+        self.length, self.start, self.size, self.at = (Growing(np.int64) for _ in range(4))
+        self.flat, self.bytes = Growing(np.uint32), Growing(np.uint8)
 
     def encode(self, texts: list[str]) -> list:
         out, batch, size = [], [], 0
@@ -90,27 +104,33 @@ class Memo:
                 batch, size = [], 0
         return out
 
-    def find(self, pieces: list[bytes]) -> np.ndarray:
-        """Places in the memo of ``pieces``."""
-        at = [self.place.get(p, -1) for p in pieces]
-        if -1 in at:
-            new = list(dict.fromkeys(p for p, k in zip(pieces, at, strict=True) if k < 0))
-            have = len(self.place)
-            found = self.encode([p.decode() for p in new])
-            length = np.array([len(x) for x in found] if self.ids else found, np.int64)
-            while len(self.length) < have + len(new):
-                self.length, self.start = np.resize(self.length, 2 * len(self.length)), np.resize(self.start, 2 * len(self.start))
-            self.length[have : have + len(new)] = length
-            if self.ids:
-                self.start[have : have + len(new)] = np.cumsum(length) - length + self.used
-                more = int(length.sum())
-                while len(self.flat) < self.used + more:
-                    self.flat = np.resize(self.flat, 2 * len(self.flat))
-                self.flat[self.used : self.used + more] = np.concatenate(found)
-                self.used += more
-            self.place.update(zip(new, range(have, have + len(new)), strict=True))
-            at = [self.place[p] if k < 0 else k for p, k in zip(pieces, at, strict=True)]
-        return np.array(at, np.int64)
+    def learn(self, pieces: list[bytes]) -> np.ndarray:
+        """New slots for ``pieces``, encoded."""
+        found = self.encode([p.decode() for p in pieces])
+        length = np.array([len(x) for x in found] if self.ids else found, np.int64)
+        size = np.array([len(p) for p in pieces], np.int64)
+        first = self.length.used
+        self.start.add(np.cumsum(length) - length + self.flat.used)
+        self.at.add(np.cumsum(size) - size + self.bytes.used)
+        self.length.add(length)
+        self.size.add(size)
+        self.bytes.add(np.frombuffer(b"".join(pieces), np.uint8))
+        if self.ids and found:
+            self.flat.add(np.concatenate(found))
+        return np.arange(first, first + len(pieces), dtype=np.int32)
+
+    def find(self, keys: np.ndarray, piece: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """Slots of sorted distinct ``keys``; ``piece(which)`` are the bytes of some of them."""
+        if self.length.used > MEMO_PIECES:
+            self.clear()
+        at = np.searchsorted(self.key, keys)
+        known = self.key[np.minimum(at, len(self.key) - 1)] == keys if len(self.key) else np.zeros(len(keys), bool)
+        new = np.flatnonzero(~known)
+        if len(new):
+            slots = self.learn(piece(new))
+            self.key, self.slot = np.insert(self.key, at[new], keys[new]), np.insert(self.slot, at[new], slots)
+            at = np.searchsorted(self.key, keys)
+        return self.slot[at]
 
     def group(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
         """Tokens by row of a group of texts, and all their ids in order."""
@@ -135,28 +155,27 @@ class Memo:
         rows = offsets[:-1][np.diff(offsets) > 0]
         if not len(rows):
             return np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.uint32)
-        if len(self.place) > MEMO_PIECES:
-            self.clear()
         raw = data.tobytes()
         starts = piece_starts(data, rows)
-        ends = np.append(starts[1:], len(data))
-        _, first, inverse = np.unique(span_hashes(data, starts), return_index=True, return_inverse=True)
-        at = self.find([raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])[inverse]
-        # every piece has its name from the first of its hash: are they the same bytes?
-        like, size = first[inverse], ends - starts
-        same = size == size[like]
-        place = np.arange(len(data)) + np.repeat(starts[like] - starts, size)
-        differ = data[np.minimum(place, len(data) - 1)] != data
-        if differ.any() or not same.all():
-            same[np.searchsorted(starts, np.flatnonzero(differ), "right") - 1] = False
-            other = np.flatnonzero(~same)
-            at[other] = self.find([raw[starts[k] : ends[k]] for k in other])
-        length = self.length[at]
+        size = np.diff(starts, append=len(data))
+        cut = lambda which: [raw[a : a + n] for a, n in zip(starts[which].tolist(), size[which].tolist(), strict=True)]
+        keys, first, inverse = np.unique(span_hashes(data, starts), return_index=True, return_inverse=True)
+        slot = self.find(keys, lambda which: cut(first[which]))[inverse]
+        # are the bytes those that the slot was learned from?
+        held = self.bytes.array[: self.bytes.used]
+        place = np.arange(len(data)) + np.repeat(self.at.array[slot] - starts, size)
+        differ = held[np.minimum(place, len(held) - 1)] != data
+        other = self.size.array[slot] != size
+        other[np.searchsorted(starts, np.flatnonzero(differ), "right") - 1] = True
+        if other.any():
+            slot = slot.copy()
+            slot[other] = self.learn(cut(np.flatnonzero(other)))
+        length = self.length.array[slot]
         upto = np.concatenate([[0], np.cumsum(length)])
         counts = np.diff(upto[np.searchsorted(starts, offsets)])
         if not self.ids:
             return counts, None
-        return counts, self.flat[np.repeat(self.start[at] - upto[:-1], length) + np.arange(upto[-1])]
+        return counts, self.flat.array[np.repeat(self.start.array[slot] - upto[:-1], length) + np.arange(upto[-1])]
 
 
 _memos: dict[tuple[str, bool], Memo] = {}

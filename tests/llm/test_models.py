@@ -148,31 +148,89 @@ def test_quality_keeps_the_good(spark):
             labels.append((k, int(good), 0))
     labels += [(None, 1, 0), (3, None, 0), (99999, 0, 0), (5, 1, 0)]
     docs = brute.frame(spark, rows + brute.documents()[7:10])
-    model = quality.train(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
-    got = quality.score(docs, model)
+    named = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = quality.classify(docs, named)
     assert got.count() == docs.count()
     scored = {r["doc_id"]: r for r in got.collect() if r["doc_id"] > 9}
     unlabelled = [k for k in scored if k % 2 == 0]
     right = [scored[k]["keep"] == (k % 5 > 0) for k in unlabelled]
     assert np.mean(right) > 0.97
     assert all(0 <= r[c] <= 1 for r in scored.values() for c in ("text_score", "meta_score", "quality_score"))
-    again = quality.train(docs.repartition(5), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
-    assert np.allclose(again.combination.weights, model.combination.weights)
+    models = [quality.fitted(quality.featured(x), named) for x in (docs, docs.repartition(5))]
+    assert np.allclose(models[0].combination.weights, models[1].combination.weights)
+
+
+def test_exchange_teaches_the_view_that_labels_alone_do_not(spark):
+    """Sixteen labels tell the metadata view all that it needs, and the text view next to nothing; documents
+    without metadata are then told by the text that the other view's pseudo-labels taught."""
+    rng = np.random.default_rng(11)
+
+    def text(good: bool) -> str:
+        size = rng.integers(40, 90)
+        out = []
+        for _ in range(size):
+            word = "".join(rng.choice(list("abcdefghij"), int(rng.integers(2, 9)) + (rng.random() < (0.9 if good else 0.1))))
+            word = word.upper() if rng.random() < noise[0] else word
+            out.append(word + ("!" if rng.random() < noise[1] else "") + ("1" if rng.random() < noise[2] else "") + ("\n" if rng.random() < noise[3] else ""))
+        return " ".join(out)
+
+    rows, labels, hidden = [], [], {}
+    for k in range(2600):
+        noise = rng.random(4) * 0.5
+        good = bool(rng.random() < 0.5)
+        source = None if k >= 2000 else "ab"[good]
+        rows.append((k, text(good), "en" if source else None, source, None, None, None, None))
+        if k < 16:
+            labels.append((k, int(good), 0))
+        if source is None:
+            hidden[k] = good
+    docs, named = brute.frame(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    features = quality.featured(docs, ("doc_id",))
+    auc = {}
+    for rounds in (0, quality.ROUNDS):
+        found = {r["doc_id"]: r["text_score"] for r in quality.scored(features, quality.fitted(features, named, rounds=rounds), ("doc_id",)).collect()}
+        good, bad = ([found[k] for k in hidden if hidden[k] == g] for g in (True, False))
+        auc[rounds] = np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad])
+    assert auc[quality.ROUNDS] > auc[0] + 0.1, auc
+
+
+def test_one_newton_step_is_that_of_all_rows_together(spark):
+    """The distributed sums against the same sums in one piece."""
+    docs = brute.frame(spark, [(k, f"word{k % 7} " * (k % 13 + 1), "en", "ab"[k % 2], k, None, None, None) for k in range(90)]).repartition(4)
+    features = quality.featured(docs)
+    table = features.toArrow()
+    text, slots = quality._matrices(table.column(quality.OWN[1]), table.column(quality.OWN[2]))
+    label = (slots[:, 0] == slots[0, 0]).astype(float)
+    known = quality.Labelled(text[:20], slots[:20], label[:20], np.arange(20) % 8)
+    model = quality.co_train(known, features.limit(0).select(*quality.OWN[1:]), 0)
+    found = quality._summed(features.select(*quality.OWN[1:]), model, model.views[0])
+    (y, w), (z, v) = model.pseudo_labels(text, slots)
+    g, c = model.views[0].sums(text, y, w)
+    assert w.any() and np.allclose(found.weight, [w[y == 0].sum(), w[y == 1].sum()])
+    assert np.allclose(found.gradient.sum(axis=0), g) and np.allclose(found.curve.sum(axis=0), c) and np.allclose(found.counts, quality.slot_counts(slots, z, v))
+
+
+def test_labelled_rows_are_bounded_whatever_an_id_has(spark):
+    rows = [(1, f"text {k}", "en", "s", 1, None, None, None) for k in range(3000)] + [(None, "no id", None, None, None, None, None, None)] * 5
+    rows += [(k, "other words", "en", "s", 1, None, None, None) for k in range(2, 50)]
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(1, 50)], "doc_id bigint, quality int, toxic int")
+    features = quality.featured(brute.frame(spark, rows))
+    known = quality.labelled_rows(features, quality._votes(labels, 100), 100)
+    assert 50 < len(known.label) <= 100
+    assert quality.classify(brute.frame(spark, rows), labels, max_labels=100).count() == len(rows)
 
 
 def test_quality_without_labels(spark):
     docs = brute.frame(spark)
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
-    got = quality.score(docs, quality.train(docs, none), tuple(docs.columns))
-    assert got.where("keep").count() == docs.count() and got.columns[: len(docs.columns)] == docs.columns
-    assert quality.score(docs.limit(0), quality.train(docs.limit(0), none)).count() == 0
+    got = quality.classify(docs, none, tuple(docs.columns), prefix="q_")
+    assert got.where("q_keep").count() == docs.count() and got.columns[: len(docs.columns)] == docs.columns
+    assert quality.classify(docs.limit(0), none).count() == 0
 
 
 def test_views_see_only_their_own():
-    text = pa.array(["some words here", None, ""])
-    a = quality.meta_features(pa.array(["s", None, "t"]), pa.array(["en", None, None]), pa.array([5, 6, None], pa.int64()), text)
-    b = quality.meta_features(pa.array(["s", None, "t"]), pa.array(["en", None, None]), pa.array([5, 6, 0], pa.int64()), pa.array(["other", "x", "y" * 9]))
-    assert np.allclose(a, b)
+    a, b = (quality.meta_slots(pa.array(["s", None, "t"]), pa.array(["en", None, None]), pa.array(n, pa.int64())) for n in ([5, None, 70], [5, None, 71]))
+    assert (a == b).all() and len({tuple(r) for r in a}) == 3 and a.max() < sum(quality.SLOTS)
 
 
 @pytest.mark.parametrize("blocks", [(1024, 4096), (7, 11)])
@@ -195,14 +253,30 @@ def test_top_k_is_exact(spark, monkeypatch, blocks):
     assert topk_search.top_k(df.limit(0), lambda v: v % 50 == 0).count() == 0
 
 
+def test_top_k_of_huge_components(spark):
+    rng = np.random.default_rng(3)
+    vectors = {k: [float(x) for x in rng.normal(size=2) * 10.0 ** (k % 19)] for k in range(120)}
+    vectors |= {200: [3e8, 5.1e8], 250: [-3e8, 5.1e8], 300: [1e300, -1e300], 301: [2.0, 3.0]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<double>")
+    got = sorted(map(tuple, topk_search.top_k(df, lambda v: v % 50 == 0).collect()))
+    hold = lambda x, low, high: max(low, min(high, x))
+    q = {i: [hold(math.floor(256 * x), -(1 << 63), (1 << 63) - 1) for x in v] for i, v in vectors.items()}
+    most = topk_search.MOST_SCORE
+    want = []
+    for i in (0, 50, 100, 200, 250, 300):
+        scored = sorted((-hold(sum(a * b for a, b in zip(q[i], v, strict=True)), -most, most), j) for j, v in q.items() if j != i)
+        want += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:5], 1)]
+    assert got == want
+
+
 def test_top_k_without_queries(spark):
     df = spark.createDataFrame([(1, [1.0])], "vec_id bigint, embedding array<double>")
     assert topk_search.top_k(df, lambda v: v % 50 == 0).count() == 0
 
 
-@pytest.mark.parametrize("rows_per_part", [20_000, 3])
-def test_edited_texts_and_fingerprints(spark, monkeypatch, rows_per_part):
-    monkeypatch.setattr(fingerprints, "PART_ROWS", rows_per_part)
+@pytest.mark.parametrize("range_bytes", [16 << 20, 30_000])
+def test_edited_texts_and_fingerprints(spark, monkeypatch, range_bytes):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", range_bytes)
     rows = [r for k, r in enumerate(brute.documents()) if k < 16]
     got = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(brute.frame(spark, rows).repartition(3)).collect()}
     assert len(got) == len(rows)
@@ -218,6 +292,20 @@ def test_edited_texts_and_fingerprints(spark, monkeypatch, rows_per_part):
     assert fingerprints.fingerprint_edits(brute.frame(spark).limit(0)).count() == 0
 
 
+def test_fingerprints_of_repeated_and_missing_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 400)
+    rows = [(None, f"text {k % 3} without id") for k in range(40)] + [("b", f"text {k} of b") for k in range(40)] + [("a", "the same")] * 40
+    got = fingerprints.fingerprint_edits(spark.createDataFrame([(*r, 1) for r in rows], "doc_id string, text string, part int")).collect()
+    assert len(got) == len(rows)
+    # in the order by id, each text is followed by one of its id, but for the last of an id
+    by = {i: [r for r in got if r["doc_id"] == i] for i in ("a", "b", None)}
+    assert [len(by[i]) for i in by] == [40, 40, 40]
+    same = hashlib.sha256(b"the the ").hexdigest()
+    assert sum(r["edited_sha256"] == same for r in by["a"]) == 39
+    edits = {hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest() for _, t in rows for _, n in rows}
+    assert all(r["edited_sha256"] in edits for r in got)
+
+
 def test_one_document_is_its_own_next(spark):
     row = fingerprints.fingerprint_edits(brute.frame(spark, [(5, "abcd", None, None, None, None, None, None)])).first()
     assert row["edited_sha256"] == hashlib.sha256(b"abab").hexdigest() and row["near_next"] == 1
@@ -275,10 +363,41 @@ def test_bloom_filter_has_no_false_negative():
 def test_held_out_languages_of_the_documents(spark):
     got = queries()["op10_language_id"](spark, "/root/testdata/sf0.01").where("held_out")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    assert got.where("score >= 0.25").count() > 0.99 * got.count()
     right = got.join(docs, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.97
 
 
+def test_predictions_are_those_of_plain_sets(spark):
+    """The filters' decisions against sets of n-grams and exact counts, on held-out texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    train = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 0 and r["lang"] is not None and r["text"]]
+
+    def windows(text: str) -> list[bytes]:
+        raw = language_id.normalised(text)
+        return [raw[k : k + 4] for k in range(max(1, len(raw) - 3))]
+
+    counts: dict[str, Counter] = {}
+    for r in train:
+        counts.setdefault(r["lang"], Counter()).update(windows(r["text"]))
+    total = {lang: sum(c.values()) for lang, c in counts.items()}
+    top = {}
+    for lang, c in counts.items():
+        for g, n in c.items():
+            top[g] = max(top.get(g, 0), n / total[lang])
+    known = {lang: {g for g, n in c.items() if n / total[lang] >= max(language_id.MIN_SHARE, language_id.MIN_RATIO * top[g])} for lang, c in counts.items()}
+    got = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    for r in rows:
+        own = windows(r["text"] or "")
+        share = sorted(((sum(g in known[lang] for g in own) / len(own), lang) for lang in known), key=lambda x: (-x[0], x[1]))
+        if not any(ch.isalpha() for ch in r["text"] or ""):
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+        elif share[0][0] - share[1][0] > 0.02:
+            assert got[r["doc_id"]]["lang_pred"] == share[0][1]
+            assert got[r["doc_id"]]["score"] == pytest.approx(share[0][0] ** 2 / (share[0][0] + share[1][0]), abs=0.02)
+
+
 def test_held_out_scores_of_the_documents(spark):
     got = queries()["op6_lm_scoring"](spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]

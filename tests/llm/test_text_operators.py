@@ -104,8 +104,16 @@ def test_mix_on_awkward_documents(spark):
     assert len(got) == docs.count()
     for r in got:
         assert r["size"] == len(brute.words(r["text"])) and r["length"] in (1, None)
-    repeated = mixing.repeated(mixing.mix_sources(docs), docs.columns)
-    assert repeated.columns == docs.columns
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    times = defaultdict(int)
+    for r in got:
+        times[r["doc_id"], r["text"]] += r["copies"]
+    taken = defaultdict(int)
+    for r in mixed.collect():
+        taken[r["doc_id"], r["text"]] += 1
+        assert (r["size"], r["target"]) == (("clash", "t") if r["doc_id"] is not None else (None, None))
+    assert taken == {k: n for k, n in times.items() if n}
     assert mixing.mix_sources(docs.limit(0)).count() == 0
 
 
