@@ -134,3 +134,9 @@ def without_controls(text: Column) -> Column:
 def digest(*parts: Column) -> Column:
     """SHA-256 of parts joined by a unit separator; null counts as empty."""
     return F.sha2(F.concat_ws("\u001f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
+
+
+def digest_key(*columns: str) -> Column:
+    """SHA-256 that tells any two rows of ``columns`` apart: each value goes with its length, null with -1."""
+    parts = [x for c in columns for x in (F.coalesce(F.length(c), F.lit(-1)).cast("string"), F.coalesce(F.col(c).cast("string"), F.lit("")))]
+    return F.sha2(F.concat_ws(":", *parts), 256)

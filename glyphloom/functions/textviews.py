@@ -14,6 +14,7 @@ from html.parser import HTMLParser
 
 #: Elements without visible text, and those that end a line.
 HIDDEN = frozenset(("script", "style"))
+CODE_TAGS = frozenset(("code", "pre"))
 LINE_TAGS = frozenset(("p", "br", "div", "li", "blockquote", "pre", "h1", "h2", "h3", "tr", "hr"))
 _URL = re.compile(r"(?i)\b(?:https?|ftp)://[^\s<>\"')\]]+|\bwww\.[^\s<>\"')\]]+")
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
@@ -27,6 +28,8 @@ class View:
     text: str = ""
     runs: list[tuple[int, int, int, int, bool]] = field(default_factory=list)
     images: list[tuple[int, int]] = field(default_factory=list)
+    #: Parts of the text that are code by their element, the outermost of nested ones.
+    code: list[tuple[int, int]] = field(default_factory=list)
 
     def add(self, shown: str, begin: int, end: int, literal: bool) -> None:
         if shown:
@@ -46,6 +49,7 @@ class _Reader(HTMLParser):
     def __init__(self, view: View):
         super().__init__(convert_charrefs=False)
         self.view, self.hidden = view, 0
+        self.depth, self.opened = 0, 0
         self.lines = [0]
         for m in re.finditer("\n", view.source):
             self.lines.append(m.end())
@@ -57,6 +61,8 @@ class _Reader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         begin = self._here()
         end = begin + len(self.get_starttag_text() or "")
+        if tag in CODE_TAGS:
+            self.depth += 1
         if tag in HIDDEN:
             self.hidden += 1
         elif tag in LINE_TAGS:
@@ -67,14 +73,24 @@ class _Reader(HTMLParser):
             at = self.view.source.find(alt, begin, end) if alt else -1
             if at >= 0:
                 self.view.add(alt, at, at + len(alt), True)
+        if tag in CODE_TAGS and self.depth == 1:
+            self.opened = len(self.view.text)
 
     def handle_endtag(self, tag):
+        if tag in CODE_TAGS and self.depth:
+            self.depth -= 1
+            if not self.depth:
+                self.close_code()
         if tag in HIDDEN:
             self.hidden = max(0, self.hidden - 1)
         elif tag in LINE_TAGS:
             begin = self._here()
             self.view.add("\n", begin, max(begin, self.view.source.find(">", begin) + 1), False)
 
+    def close_code(self) -> None:
+        if len(self.view.text) > self.opened:
+            self.view.code.append((self.opened, len(self.view.text)))
+
     def handle_data(self, data):
         if not self.hidden:
             self.view.add(data, self._here(), self._here() + len(data), True)
@@ -99,6 +115,8 @@ def make_view(source: str | None, name: str, is_html: bool) -> View:
         reader = _Reader(view)
         reader.feed(view.source)
         reader.close()
+        if reader.depth:
+            reader.close_code()
     else:
         at = 0
         for m in sorted([*_ENTITY.finditer(view.source), *_MARKDOWN_IMAGE.finditer(view.source)], key=lambda m: m.start()):
