@@ -117,6 +117,22 @@ def grouped_lines(lines: DataFrame, number: str, prefix: str) -> DataFrame:
     return lines.withColumn("header", carried).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
 
 
+def emoji_rows(lines: DataFrame) -> DataFrame:
+    """(sequence, cp, status, name, emoji_group, subgroup) of an official emoji list (file, n, value).
+
+    ``cp`` is set for single characters, with or without a variation selector.
+    """
+    by = W.partitionBy("file").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
+    named = lines.withColumns({f"_{g}": F.when(F.col("value").startswith(f"# {g}:"), F.trim(F.regexp_replace("value", f"^# {g}:", ""))) for g in ("group", "subgroup")})
+    carried = named.withColumns({"emoji_group": F.last("_group", ignorenulls=True).over(by), "subgroup": F.last("_subgroup", ignorenulls=True).over(by)})
+    data = carried.where(~F.col("value").startswith("#") & F.contains("value", F.lit(";")))
+    pattern = r"^([0-9A-F ]+?)\s*;\s*([a-z-]+)\s*#\s*\S+\s+E[0-9.]+\s+(.*)$"
+    parts = [F.trim(F.regexp_extract("value", pattern, k)) for k in (1, 2, 3)]
+    rows = data.select(parts[0].alias("sequence"), parts[1].alias("status"), parts[2].alias("name"), "emoji_group", "subgroup")
+    single = F.regexp_extract("sequence", r"^([0-9A-F]+)(?: FE0[EF])?$", 1)
+    return rows.where("sequence <> ''").withColumn("cp", F.when(single != "", F.conv(F.nullif(single, F.lit("")), 16, 10).cast("long")))
+
+
 def export_jsonl(df: DataFrame, path: str) -> None:
     """Publish as JSON lines; an existing target is an error, and the committer makes it appear whole."""
     df.write.mode("errorifexists").json(path)
