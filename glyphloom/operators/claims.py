@@ -42,14 +42,17 @@ def normalised_phrase(term: Column, most_words: int = 10, most_chars: int = 100)
     return F.when(size & ~term.isin(*GENERIC), term)
 
 
+def _sides(words: Column) -> Column:
+    """The direction words among ``words`` as numbers: one for each axis, its opposite negative."""
+    number = [x for k, pair in enumerate(OPPOSITES, 1) for sign, side in zip((1, -1), pair, strict=True) for w in side for x in (F.lit(w), F.lit(sign * k))]
+    return F.array_distinct(F.filter(F.transform(F.split(words, " "), lambda w: F.try_element_at(F.create_map(*number), w)), lambda n: n.isNotNull()))
+
+
 def contradicts(name: Column, phrase: Column) -> Column:
-    """Does a normalised phrase claim the opposite of a direction word in a normalised name?"""
-    own, claim = F.split(name, " "), F.split(phrase, " ")
-    has = lambda tokens, words: F.arrays_overlap(tokens, F.array(*[F.lit(w) for w in words]))
-    out = F.lit(False)
-    for left, right in OPPOSITES:
-        out = out | (has(own, left) & ~has(own, right) & has(claim, right)) | (has(own, right) & ~has(own, left) & has(claim, left))
-    return out
+    """Does a normalised phrase point the other way on an axis on which the normalised name points one way only?"""
+    own = _sides(name)
+    one_way = F.filter(own, lambda n: ~F.array_contains(own, -n))
+    return F.arrays_overlap(_sides(phrase), F.transform(one_way, lambda n: -n))
 
 
 def useful_phrase(slot: Column, phrase: Column) -> Column:

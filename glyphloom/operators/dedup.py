@@ -25,7 +25,8 @@ def first_wins(rows: DataFrame, key: list[str], order: list[Column]) -> DataFram
 
 
 def merged(old: DataFrame, new: DataFrame, key: list[str], rules: dict[str, str]) -> DataFrame:
-    """Upsert: a full outer join on the key.  Rules by column: ``max``, ``min``, ``new``, ``old`` (keep if set)."""
+    """Upsert: a full outer join on the key.  Rules by column: ``max``, ``min``, ``new``, ``old`` (keep if set), or
+    ``keep:a,b``: the old value where it is one of these, else the new one."""
     joined = old.alias("o").join(new.alias("n"), [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key], "full")
     pick = {
         "max": lambda o, n: F.greatest(o, n),
@@ -33,7 +34,14 @@ def merged(old: DataFrame, new: DataFrame, key: list[str], rules: dict[str, str]
         "new": lambda o, n: F.coalesce(n, o),
         "old": lambda o, n: F.coalesce(o, n),
     }
-    return joined.select(*[F.coalesce(F.col(f"o.{k}"), F.col(f"n.{k}")).alias(k) for k in key], *[pick[r](F.col(f"o.{c}"), F.col(f"n.{c}")).alias(c) for c, r in rules.items()])
+
+    def value(c: str, rule: str) -> Column:
+        old_value, new_value = F.col(f"o.{c}"), F.col(f"n.{c}")
+        if rule.startswith("keep:"):
+            return F.when(old_value.isin(*rule[len("keep:") :].split(",")), old_value).otherwise(F.coalesce(new_value, old_value)).alias(c)
+        return pick[rule](old_value, new_value).alias(c)
+
+    return joined.select(*[F.coalesce(F.col(f"o.{k}"), F.col(f"n.{k}")).alias(k) for k in key], *[value(c, r) for c, r in rules.items()])
 
 
 def replaced_selection(old: DataFrame, new: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
@@ -59,6 +67,26 @@ def exact_coverage(expected: Column, given: Column) -> Column:
     return F.struct(missing.alias("missing"), extra.alias("extra"), repeated.alias("repeated"), ((F.size(missing) == 0) & (F.size(extra) == 0) & (repeated == 0)).alias("exact"))
 
 
+def chosen_sites(manifest: DataFrame, sites: list[str]) -> DataFrame:
+    """The rows of a manifest (ordinal, site) for ``sites``, in the manifest's order; unknown or repeated names are errors."""
+    known = {r["site"] for r in manifest.select("site").distinct().collect()}  # a manifest has one row for each site
+    if unknown := sorted(set(sites) - known):
+        raise ValueError(f"unknown sites: {', '.join(unknown)}")
+    if len(set(sites)) != len(sites):
+        raise ValueError("a site is named twice")
+    return manifest.where(F.col("site").isin(*sites)).orderBy("ordinal")
+
+
+def version_purge(tables: dict[str, DataFrame], column: str, keep: list[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Rows by table that a purge of all but ``keep`` versions would remove, and the tables without them."""
+    stale = ~F.coalesce(F.col(column).isin(*keep), F.lit(False))
+    parts = [t.agg(F.count_if(stale).alias("n")).select(F.lit(name).alias("name"), "n") for name, t in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out, {name: t.where(~stale) for name, t in tables.items()}
+
+
 def without_sites(rows: DataFrame, sites: list[str]) -> DataFrame:
     return rows.where(~F.col("site").isin(*sites))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,26 +18,6 @@ INTENTS = ("name", "appearance", "meaning", "use")
 CONTEXT_LIMIT = 40_000
 
 
-def _balanced(text: str, at: int) -> int:
-    """Where the bracket at ``at`` closes, -1 if it doesn't; brackets in strings don't count."""
-    opener, closer = text[at], "}" if text[at] == "{" else "]"
-    depth, quoted, k = 0, False, at
-    while k < len(text):
-        c = text[k]
-        if quoted:
-            if c == "\\":
-                k += 1
-            quoted = c != '"'
-        elif c == '"':
-            quoted = True
-        else:
-            depth += (c == opener) - (c == closer)
-            if depth == 0:
-                return k
-        k += 1
-    return -1
-
-
 def json_candidates(text: str | None) -> list:
     """JSON values in a text, best first: fenced blocks if any parse, else balanced parts.
 
@@ -52,16 +33,39 @@ def json_candidates(text: str | None) -> list:
     if fenced:
         return [x[2] for x in sorted(fenced, key=lambda x: x[:2])]
     by_end: dict[int, tuple[int, object]] = {}
+    decoder = json.JSONDecoder()
     for m in re.finditer(r"[{\[]", text):
-        end = _balanced(text, m.start())
-        if end >= 0:
-            try:
-                by_end[end] = (m.start(), json.loads(text[m.start() : end + 1]))
-            except ValueError:
-                pass
+        try:
+            # one value from here, or the first error in it
+            value, end = decoder.raw_decode(text, m.start())
+            by_end[end] = (m.start(), value)
+        except (ValueError, RecursionError):
+            pass
     return [v for _, _, v in sorted(((a - e, -a, v) for e, (a, v) in by_end.items()), key=lambda x: x[:2])]
 
 
+def matching_json(text: str | None, accepts: Callable[[object], bool]) -> object | None:
+    """The best JSON value in a text that a predicate accepts; one that it fails on is passed over."""
+    for value in json_candidates(text):
+        try:
+            if accepts(value):
+                return value
+        except (KeyError, TypeError, ValueError, IndexError):
+            continue
+    return None
+
+
+def salvaged_with(keys: tuple[str, ...]):
+    """A pandas UDF: the best JSON object in a text that has all of ``keys``, with sorted keys; null without one."""
+
+    @F.pandas_udf(T.StringType())
+    def found(text: pd.Series) -> pd.Series:
+        one = lambda t: matching_json(t, lambda v: isinstance(v, dict) and set(keys) <= set(v))
+        return text.map(lambda t: None if (v := one(t)) is None else canonical_json(v))
+
+    return found
+
+
 @F.pandas_udf(T.StringType())
 def salvaged_json(text: pd.Series) -> pd.Series:
     """The best JSON value in a text, with sorted keys; null without one."""

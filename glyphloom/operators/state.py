@@ -12,25 +12,45 @@ QUALITY_BUDGET, TRANSPORT_BUDGET = 2, 6
 QUEUE_ORDER = ("failed", "quarantined", "stale", "untouched")
 
 
-def replayed(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def replayed(events: DataFrame, keys: list[str], order: list[str], owner: str | None = None) -> DataFrame:
     """Checkpoints after all transition events (begin, progress, finish, fail, transport, stale, release).
 
     begin adds an attempt, a transport failure gives it back and counts on its own budget; the status follows
-    from the last event that sets one.
+    from the last event that sets one.  With an ``owner`` column work is leased: events of another owner than the one
+    whose begin came last have no effect while that work runs, so a begin under a live lease adds no attempt.
     """
     kind = F.col("event")
+    at = F.struct(*order)
+    if owner is not None:
+        events = _effective(events, keys, order, owner)
     status = (
         F.when(kind == "begin", "running").when(kind == "finish", "complete").when(kind == "fail", "failed").when(kind == "transport", "failed").when(kind == "stale", "stale").when(kind == "release", "pending")
     )
-    at = F.struct(*order)
     return events.groupBy(*keys).agg(
         F.max_by(status, F.when(status.isNotNull(), at)).alias("status"),
-        (F.count_if(kind == "begin") - F.count_if(kind == "transport")).alias("attempts"),
+        F.greatest(F.lit(0).cast("long"), F.count_if(kind == "begin") - F.count_if(kind == "transport")).alias("attempts"),
         F.count_if(kind == "transport").alias("operational_failures"),
         F.max(at).getField(order[0]).alias("last"),
     )
 
 
+def _effective(events: DataFrame, keys: list[str], order: list[str], owner: str) -> DataFrame:
+    """The events that a lease lets through, by a fold over the events of a checkpoint (a few dozen) in order."""
+    kind = "array<struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in events.schema if f.name not in keys) + ">>"
+    rest = [c for c in events.columns if c not in keys]
+    ordered = events.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("at"), F.struct(*rest).alias("e")))).alias("all"))
+    start = F.struct(F.lit(None).cast("string").alias("holder"), F.expr(f"cast(array() as {kind})").alias("kept"))
+
+    def step(acc: Column, x: Column) -> Column:
+        event, by = x["e"]["event"], x["e"][owner].cast("string")
+        free = acc["holder"].isNull()
+        begins, passes = (event == "begin") & (free | (acc["holder"] == by)), (event == "stale") & free | (event != "begin") & (acc["holder"] == by)
+        holder = F.when(begins, by).when(passes & event.isin("finish", "fail", "transport", "release", "stale"), F.lit(None)).otherwise(acc["holder"])
+        return F.struct(holder.alias("holder"), F.when(begins | passes, F.concat(acc["kept"], F.array(x["e"]))).otherwise(acc["kept"]).alias("kept"))
+
+    return ordered.select(*keys, F.explode(F.aggregate("all", start, step)["kept"]).alias("e")).select(*keys, "e.*")
+
+
 def recovered(checkpoints: DataFrame, live_owners: DataFrame) -> DataFrame:
     """Running work of owners that are gone becomes stale."""
     alive = checkpoints.join(live_owners.select("owner").distinct().withColumn("_alive", F.lit(True)), "owner", "left")
@@ -69,15 +89,16 @@ def progress_rate(samples: DataFrame, keys: list[str], ts: str, value: str, tie:
     Needs two samples that span a quarter of a second and didn't fall.
     """
     by = W.partitionBy(*keys)
+    sample = F.struct(F.col("_at"), F.col("_k"), F.col(value).alias("v"))
     numbered = samples.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).withColumn("_k", F.row_number().over(by.orderBy(ts, tie)))
-    recent = by.orderBy("_at").rangeBetween(-seconds, 0)
     # the earliest of the time frame, but not earlier than the 64th from here
-    earliest = F.greatest(F.min("_k").over(recent), F.col("_k") - (most - 1))
-    framed = numbered.withColumn("_from", earliest)
-    first = numbered.select(*keys, F.col("_k").alias("_from"), F.col("_at").alias("_at0"), F.col(value).alias("_v0"))
-    joined = framed.join(first, [*keys, "_from"])
-    span, gain = F.col("_at") - F.col("_at0"), F.col(value) - F.col("_v0")
-    usable = (F.col("_k") > F.col("_from")) & (span >= 0.25) & (gain >= 0)
+    timely = F.min(F.struct("_k", sample.alias("s"))).over(by.orderBy("_at").rangeBetween(-seconds, 0))
+    near = F.first(sample).over(by.orderBy("_k").rowsBetween(-(most - 1), 0))
+    framed = numbered.withColumn("_timely", timely).withColumn("_near", near)
+    first = F.when(F.col("_timely._k") >= F.col("_near._k"), F.col("_timely.s")).otherwise(F.col("_near"))
+    joined = framed.withColumn("_first", first)
+    span, gain = F.col("_at") - F.col("_first._at"), F.col(value) - F.col("_first.v")
+    usable = (F.col("_k") > F.col("_first._k")) & (span >= 0.25) & (gain >= 0)
     return joined.select(*keys, ts, tie, F.when(usable, F.round(gain / span, 6)).alias("rate"))
 
 

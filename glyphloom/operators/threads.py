@@ -11,7 +11,10 @@ STATUSES = ("request_with_evidence", "request_only", "evidence_only", "discussio
 
 
 def conversation_documents(conversations: DataFrame) -> DataFrame:
-    """Turns as documents of a thread: the first user turn asks, later ones comment, system turns are history."""
+    """Turns as documents of a thread: the first user turn asks, later ones comment, system turns are history.
+
+    ``post_id`` is the post that a document belongs to: history at the first turn revises the question, any other an answer.
+    """
     first = F.min(F.when(F.col("role") == "user", F.col("turn"))).over(W.partitionBy("conv_id"))
     role = (
         F.when(F.col("role") == "assistant", "answer")
@@ -19,20 +22,22 @@ def conversation_documents(conversations: DataFrame) -> DataFrame:
         .when(F.col("turn") == first, "question")
         .otherwise("comment")
     )
-    return conversations.select(F.col("conv_id").alias("qid"), (F.col("conv_id") * 1000 + F.col("turn")).alias("docid"), role.alias("role"), "text")
+    docid = F.col("conv_id") * 1000 + F.col("turn")
+    return conversations.select(F.col("conv_id").alias("qid"), docid.alias("docid"), F.when(F.col("turn") == 0, F.col("conv_id")).otherwise(docid).alias("post_id"), role.alias("role"), "text")
 
 
 def flags(assessed: DataFrame) -> DataFrame:
-    """The five flags of a source from its role, status, routes and revision target."""
+    """The five flags of a source (role, status, routes, post_id, qid): requests and images count in questions and comments
+    alone, evidence and discussion anywhere but in history, historical requests in revisions of the question itself."""
     request = F.col("status") == "character_request"
-    outside = F.col("role") != "history"
+    asking, outside = F.col("role").isin("question", "comment"), F.col("role") != "history"
     return assessed.select(
         "*",
-        (request & F.col("role").isin("question", "comment")).alias("request"),
-        (F.array_contains("routes", "needs_image") & outside).alias("image"),
+        (request & asking).alias("request"),
+        (F.array_contains("routes", "needs_image") & asking).alias("image"),
         (F.array_contains("routes", "identity_evidence") & outside).alias("evidence"),
         (F.col("status").isin("character_request", "character_discussion") & outside).alias("discussion"),
-        (request & (F.col("role") == "history")).alias("historical_request"),
+        (request & ~outside & F.coalesce(F.col("post_id") == F.col("qid"), F.lit(False))).alias("historical_request"),
     )
 
 

@@ -10,33 +10,45 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def verification(votes: DataFrame, claim: str, verdict: str) -> DataFrame:
-    """Status and confidence of every claim from its votes (supported, unsupported, uncertain, contradicted).
+#: Verdicts on a claim, those against it, and the statuses they lead to.
+VERDICTS = ("supported", "platform_specific", "too_broad", "wrong", "duplicate")
+AGAINST = ("too_broad", "wrong", "duplicate")
 
-    A claim is accepted by a majority of floor(n / 2) + 1 supports unless any vote is negative; a majority
-    of negative votes rejects it; anything else stays uncertain.  Confidence is the share of the deciding kind.
+
+def verification(reviews: DataFrame, claim: str, verdict: str, votes: str | None = None) -> DataFrame:
+    """Status and confidence of every claim from its reviews; ``votes``: a column with the number of valid votes (else its reviews).
+
+    floor(n / 2) + 1 votes are a majority.  One against the claim rejects it; one for it, with nothing against it,
+    verifies it, platform-specifically if any vote says so; anything else is contested.
     """
     v = F.col(verdict)
-    tally = votes.groupBy(claim).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(v == "supported").alias("supported"),
-        F.count_if(v.isin("unsupported", "contradicted")).alias("negative"),
-        F.count_if(v == "uncertain").alias("uncertain"),
-    )
+    n = F.max(votes) if votes else F.count(F.lit(1))
+    tally = reviews.groupBy(claim).agg(n.cast("long").alias("n"), *[F.count_if(v == x).alias(x) for x in VERDICTS])
+    against, in_favour = sum((F.col(x) for x in AGAINST[1:]), F.col(AGAINST[0])), F.col("supported") + F.col("platform_specific")
     majority = F.floor(F.col("n") / 2) + 1
-    status = F.when((F.col("supported") >= majority) & (F.col("negative") == 0), "accepted").when(F.col("negative") >= majority, "rejected").otherwise("uncertain")
-    lead = F.when(F.col("status") == "accepted", F.col("supported")).when(F.col("status") == "rejected", F.col("negative")).otherwise(F.greatest("supported", "negative", "uncertain"))
-    return tally.withColumn("status", status).withColumn("confidence", F.round(lead / F.col("n"), 6))
+    status = (
+        F.when(against >= majority, "rejected")
+        .when((against == 0) & (F.col("platform_specific") == 0) & (F.col("supported") >= majority), "verified")
+        .when((against == 0) & (F.col("platform_specific") > 0) & (in_favour >= majority), "platform_specific")
+        .otherwise("contested")
+    )
+    s = F.col("status")
+    lead = F.when(s == "rejected", against).when(s == "verified", F.col("supported")).when(s == "platform_specific", in_favour).otherwise(F.greatest(*VERDICTS))
+    found = tally.withColumn("status", status).withColumn("support_count", lead)
+    return found.withColumn("confidence", F.round(F.try_divide("support_count", "n"), 6))
 
 
 def adjudication(votes: DataFrame, case: str, candidate: str, vote: str, p: str) -> DataFrame:
-    """Winner of every case: most first places, then mean probability, then the smaller candidate; agreement is its share of firsts."""
-    place = W.partitionBy(case, vote).orderBy(F.col(p).desc(), candidate)
-    firsts = votes.withColumn("_first", (F.row_number().over(place) == 1).cast("long"))
-    by = firsts.groupBy(case, candidate).agg(F.avg(p).alias("mean_p"), F.sum("_first").alias("wins"))
-    cases = by.groupBy(case).agg(F.sum("wins").alias("votes"))
-    best = by.withColumn("_r", F.row_number().over(W.partitionBy(case).orderBy(F.col("wins").desc(), F.col("mean_p").desc(), candidate))).where("_r = 1")
-    return best.join(cases, case).select(case, F.col(candidate).alias("winner"), F.round("mean_p", 6).alias("mean_p"), "wins", F.round(F.col("wins") / F.col("votes"), 6).alias("agreement"))
+    """Winner of every case: most first places, then the larger mean probability over all votes, then the first to come first.
+
+    A candidate that a vote doesn't list has probability 0 there; agreement is the winner's share of all votes.
+    """
+    ranked = votes.withColumn("_first", F.row_number().over(W.partitionBy(case, vote).orderBy(F.col(p).desc(), candidate)) == 1)
+    by = ranked.groupBy(case, candidate).agg(F.sum(p).alias("_p"), F.count_if("_first").alias("wins"), F.min(F.when(F.col("_first"), F.col(vote))).alias("_won"))
+    cases = votes.groupBy(case).agg(F.count_distinct(vote).alias("votes"))
+    order = W.partitionBy(case).orderBy(F.col("wins").desc(), F.col("_p").desc(), F.col("_won"), candidate)
+    best = by.withColumn("_r", F.row_number().over(order)).where("_r = 1").join(cases, case)
+    return best.select(case, F.col(candidate).alias("winner"), F.round(F.col("_p") / F.col("votes"), 6).alias("mean_p"), "wins", F.round(F.col("wins") / F.col("votes"), 6).alias("agreement"))
 
 
 def entropy(rows: DataFrame, key: str, weight: Column) -> DataFrame:

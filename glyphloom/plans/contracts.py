@@ -38,7 +38,7 @@ def classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def select_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lanes.source_lanes(_sources(spark, sf_dir).select("page_id", "Title", "role")).select("page_id", "lane", "priority", "reasons")
+    return lanes.source_lanes(_sources(spark, sf_dir)).select("page_id", "lane", "priority", "reasons")
 
 
 @query()
@@ -64,17 +64,22 @@ def taxonomy_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.coverage(taxonomy.resolved(taxonomy.code_points(spark)))
 
 
+@query()
+def taxonomy_subfamilies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taxonomy.subfamily_coverage(taxonomy.resolved(taxonomy.code_points(spark)))
+
+
 @query()
 def taxonomy_name_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxonomy.name_tokens(taxonomy.code_points(spark))
 
 
 @query("""
-SELECT event_id, props->>'k' AS k, json_type(props, '$.k') = 'UBIGINT' AS is_number FROM events WHERE event_id % 10 = 0""")
+SELECT event_id, props->>'k' AS k, json_type(props, '$.k') = 'UBIGINT' AS is_number FROM events""")
 def json_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the objects are buried in prose and found again
     noise = F.concat(F.lit("Sure, {here: it is [1, "), F.lit("\n"), F.col("props"), F.lit(" as asked."))
-    found = table(spark, sf_dir, "events").where("event_id % 10 = 0").select("event_id", records.salvaged_json(noise).alias("j"))
+    found = table(spark, sf_dir, "events").select("event_id", records.salvaged_json(noise).alias("j"))
     return found.select("event_id", F.get_json_object("j", "$.k").alias("k"), F.get_json_object("j", "$.k").rlike("^[0-9]+$").alias("is_number"))
 
 

@@ -12,7 +12,7 @@ from glyphloom.plans.base import query, table
 _WORDS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}\p{{M}}]*')"
 _DOCS = """
 docs AS (
-  SELECT conv_id AS qid, conv_id * 1000 + turn AS docid, text,
+  SELECT conv_id AS qid, conv_id * 1000 + turn AS docid, CASE WHEN turn = 0 THEN conv_id ELSE conv_id * 1000 + turn END AS post_id, text,
     CASE WHEN role = 'assistant' THEN 'answer' WHEN role = 'system' THEN 'history'
          WHEN turn = min(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id) THEN 'question' ELSE 'comment' END AS role
   FROM conversations)"""
@@ -22,18 +22,19 @@ assessed AS (
   SELECT *, CASE WHEN length(text) % 7 = 0 THEN 'character_request' WHEN length(text) % 7 = 1 THEN 'character_discussion'
                  WHEN length(text) % 7 = 2 THEN 'review' WHEN length(text) % 7 < 5 THEN 'context_only' ELSE 'unrelated' END AS status,
          CASE length(text) % 7 WHEN 0 THEN 8 WHEN 1 THEN 4 WHEN 2 THEN 3 WHEN 3 THEN 1 WHEN 4 THEN 1 ELSE 0 END AS score,
-         length(text) % 5 = 0 AS identity
+         length(text) % 5 = 0 AS identity, length(text) % 3 = 0 AS picture
   FROM docs)"""
 _THREADS = """
 threads AS (
-  SELECT qid, request, evidence, discussion, historical_request, score,
-    CASE WHEN request AND evidence THEN 'request_with_evidence' WHEN request THEN 'request_only' WHEN evidence THEN 'evidence_only'
+  SELECT qid, request, image, evidence, discussion, historical_request, score,
+    CASE WHEN request AND evidence THEN 'request_with_evidence' WHEN request THEN 'request_only' WHEN image THEN 'needs_image' WHEN evidence THEN 'evidence_only'
          WHEN discussion THEN 'discussion' WHEN historical_request THEN 'historical_request' WHEN score = 3 THEN 'review'
          WHEN score > 0 THEN 'context_only' ELSE 'unrelated' END AS status
   FROM (SELECT qid, bool_or(status = 'character_request' AND role IN ('question', 'comment')) AS request,
+               bool_or(picture AND role IN ('question', 'comment')) AS image,
                bool_or(identity AND role <> 'history') AS evidence,
                bool_or(status IN ('character_request', 'character_discussion') AND role <> 'history') AS discussion,
-               bool_or(status = 'character_request' AND role = 'history') AS historical_request, max(score) AS score
+               bool_or(status = 'character_request' AND role = 'history' AND post_id = qid) AS historical_request, max(score) AS score
         FROM assessed GROUP BY qid))"""
 
 
@@ -42,13 +43,14 @@ def assessed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.length("text") % 7
     status = F.when(m == 0, "character_request").when(m == 1, "character_discussion").when(m == 2, "review").when(m < 5, "context_only").otherwise("unrelated")
     score = F.when(m == 0, 8).when(m == 1, 4).when(m == 2, 3).when(m < 5, 1).otherwise(0)
-    routes = F.when(F.length("text") % 5 == 0, F.array(F.lit("identity_evidence"))).otherwise(F.array().cast("array<string>"))
+    parts = [F.when(F.length("text") % n == 0, F.lit(route)) for n, route in ((5, "identity_evidence"), (3, "needs_image"))]
+    routes = F.filter(F.array(*parts), lambda r: r.isNotNull())
     return threads.flags(docs.select("*", status.alias("status"), score.alias("score"), routes.alias("routes")))
 
 
 @query(f"WITH {_DOCS}, {_ASSESSED}, {_THREADS} SELECT * FROM threads")
 def thread_rollup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return threads.rollup(assessed_documents(spark, sf_dir), ["qid"]).drop("image")
+    return threads.rollup(assessed_documents(spark, sf_dir), ["qid"])
 
 
 def _bm25_sql(source: str, key: str, terms: list[str]) -> str:
@@ -223,8 +225,8 @@ def accent_fold_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-WITH d AS (SELECT p_partkey AS entity_id, regexp_extract_all(lower(p_name || ' ' || p_type), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*') AS t FROM part WHERE p_partkey % 7 = 0),
-q AS (SELECT p_partkey AS query_id, p_partkey AS target, list_distinct(regexp_extract_all(lower(p_name), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*')) AS t FROM part WHERE p_partkey % 98 = 0),
+WITH d AS (SELECT p_partkey AS entity_id, regexp_extract_all(lower(p_name || ' ' || p_type), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*') AS t FROM part),
+q AS (SELECT min(p_partkey) AS query_id, min(p_partkey) AS target, list_distinct(regexp_extract_all(lower(arg_min(p_name || ' ' || p_type, p_partkey)), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*')) AS t FROM part GROUP BY p_brand),
 f AS (SELECT count(*) AS n, avg(len(t)) AS l FROM d),
 p AS (SELECT term, entity_id, count(*) AS tf, any_value(len) AS len FROM (SELECT entity_id, len(t) AS len, unnest(t) AS term FROM d) GROUP BY term, entity_id),
 i AS (SELECT term, CASE WHEN ln(((SELECT n FROM f) - count(*) + 0.5) / (count(*) + 0.5)) > 0 THEN ln(((SELECT n FROM f) - count(*) + 0.5) / (count(*) + 0.5)) ELSE 1e-6 END AS idf FROM p GROUP BY term),
@@ -234,6 +236,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY relevance, ent
 SELECT q.query_id, r.rank::INTEGER AS rank FROM q LEFT JOIN r ON q.query_id = r.query_id AND q.target = r.entity_id AND r.rank <= 10""")
 def retrieval_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part")
-    docs = parts.where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("entity_id"), F.concat_ws(" ", "p_name", "p_type").alias("text"))
-    asked = parts.where("p_partkey % 98 = 0").select(F.col("p_partkey").alias("query_id"), F.col("p_name").alias("query"), F.col("p_partkey").alias("target"))
+    text = F.concat_ws(" ", "p_name", "p_type")
+    docs = parts.select(F.col("p_partkey").alias("entity_id"), text.alias("text"))
+    # the first part of each brand is asked for by its own words
+    firsts = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("query_id"), F.min_by(text, "p_partkey").alias("query"))
+    asked = firsts.select("query_id", "query", F.col("query_id").alias("target"))
     return retrieval.target_ranks(docs, asked, stemmed=False)

@@ -90,26 +90,38 @@ def prefix_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.stem_neighbours(stems.unionByName(names), "name", "id", "id", " ")
 
 
-_VOTES = """v AS (SELECT user_id AS claim, event_id AS vote, CASE event_type WHEN 'purchase' THEN 'supported' WHEN 'signup' THEN 'supported' WHEN 'view' THEN 'supported' WHEN 'click' THEN 'uncertain' ELSE CASE WHEN value > 60 THEN 'contradicted' ELSE 'uncertain' END END AS verdict FROM events WHERE event_id % 40 < 3)"""
+_VOTES = """v AS (
+  SELECT event_id // 3 AS claim, CASE WHEN event_type IN ('purchase', 'signup', 'click') THEN 'supported' WHEN event_type = 'view' THEN 'platform_specific'
+         WHEN value > 60 THEN 'wrong' WHEN value > 30 THEN 'too_broad' ELSE 'duplicate' END AS verdict FROM events)"""
 
 
+# majority floor(n / 2) + 1, rejected before verified before platform_specific before contested
 @query(f"""
-WITH {_VOTES}, t AS (SELECT claim, count(*) AS n, count(*) FILTER (WHERE verdict = 'supported') AS supported, count(*) FILTER (WHERE verdict = 'contradicted') AS negative, count(*) FILTER (WHERE verdict = 'uncertain') AS uncertain FROM v GROUP BY claim),
-s AS (SELECT *, CASE WHEN supported >= n // 2 + 1 AND negative = 0 THEN 'accepted' WHEN negative >= n // 2 + 1 THEN 'rejected' ELSE 'uncertain' END AS status FROM t)
-SELECT *, round((CASE status WHEN 'accepted' THEN supported WHEN 'rejected' THEN negative ELSE greatest(supported, negative, uncertain) END) / n, 6) AS confidence FROM s""")
+WITH {_VOTES}, t AS (
+  SELECT claim, count(*) AS n, {", ".join(f"count(*) FILTER (WHERE verdict = '{v}') AS {v}" for v in votes.VERDICTS)} FROM v GROUP BY claim),
+s AS (
+  SELECT *, too_broad + wrong + duplicate AS against, CASE WHEN too_broad + wrong + duplicate >= n // 2 + 1 THEN 'rejected'
+    WHEN supported >= n // 2 + 1 AND too_broad + wrong + duplicate = 0 AND platform_specific = 0 THEN 'verified'
+    WHEN supported + platform_specific >= n // 2 + 1 AND too_broad + wrong + duplicate = 0 AND platform_specific > 0 THEN 'platform_specific' ELSE 'contested' END AS status FROM t),
+l AS (
+  SELECT *, CASE status WHEN 'rejected' THEN against WHEN 'verified' THEN supported WHEN 'platform_specific' THEN supported + platform_specific
+    ELSE greatest(supported, platform_specific, too_broad, wrong, duplicate) END AS support_count FROM s)
+SELECT * EXCLUDE (against), round(support_count / n, 6) AS confidence FROM l""")
 def vote_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = F.col("event_type")
-    verdict = F.when(t.isin("purchase", "signup", "view"), "supported").when((t == "click") | (F.col("value") <= 60), "uncertain").otherwise("contradicted")
-    own = table(spark, sf_dir, "events").where("event_id % 40 < 3").select(F.col("user_id").alias("claim"), verdict.alias("verdict"))
+    t, value = F.col("event_type"), F.col("value")
+    against = F.when(value > 60, "wrong").when(value > 30, "too_broad").otherwise("duplicate")
+    verdict = F.when(t.isin("purchase", "signup", "click"), "supported").when(t == "view", "platform_specific").otherwise(against)
+    own = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 3).alias("claim"), verdict.alias("verdict"))
     return votes.verification(own, "claim", "verdict")
 
 
 @query("""
 WITH v AS (SELECT user_id AS c, event_type AS k, event_id % 5 AS v, max(value) AS p FROM events GROUP BY 1, 2, 3),
 f AS (SELECT *, row_number() OVER (PARTITION BY c, v ORDER BY p DESC, k) = 1 AS first FROM v),
-b AS (SELECT c, k, avg(p) AS mean_p, count(*) FILTER (WHERE first) AS wins FROM f GROUP BY c, k),
-r AS (SELECT *, sum(wins) OVER (PARTITION BY c) AS n, row_number() OVER (PARTITION BY c ORDER BY wins DESC, mean_p DESC, k) AS r FROM b)
-SELECT c AS user_id, k AS winner, round(mean_p, 6) AS mean_p, wins::BIGINT AS wins, round(wins / n, 6) AS agreement FROM r WHERE r = 1""")
+n AS (SELECT c, count(DISTINCT v) AS n FROM v GROUP BY c),
+b AS (SELECT c, k, sum(p) AS p, count(*) FILTER (WHERE first) AS wins, min(v) FILTER (WHERE first) AS won FROM f GROUP BY c, k),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY wins DESC, p DESC, won, k) AS r FROM b)
+SELECT c AS user_id, k AS winner, round(p / n, 6) AS mean_p, wins::BIGINT AS wins, round(wins / n, 6) AS agreement FROM r JOIN n USING (c) WHERE r = 1""")
 def adjudication_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     cast = table(spark, sf_dir, "events").groupBy("user_id", "event_type", (F.col("event_id") % 5).alias("vote")).agg(F.max("value").alias("p"))
     return votes.adjudication(cast, "user_id", "event_type", "vote", "p")
@@ -135,12 +147,12 @@ def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH v AS (SELECT user_id AS entity_id, event_type AS phrase, event_id % 4 AS vote, 'e' || (event_id % 3) AS evidence FROM events WHERE value < 12),
+WITH v AS (SELECT user_id AS entity_id, event_type AS phrase, event_id % 4 AS vote, 'e' || (event_id % 3) AS evidence FROM events),
 n AS (SELECT entity_id, count(DISTINCT vote) AS n FROM v GROUP BY 1)
 SELECT entity_id, phrase, count(DISTINCT vote) AS support, array_to_string(list_sort(list(DISTINCT evidence)), ',') AS evidence, round(count(DISTINCT vote) / any_value(n), 6) AS confidence
 FROM v JOIN n USING (entity_id) WHERE phrase <> 'error' GROUP BY entity_id, phrase""")
 def merged_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = table(spark, sf_dir, "events").where("value < 12").select(F.col("user_id").alias("entity_id"), F.col("event_type").alias("phrase"), (F.col("event_id") % 4).alias("vote"), F.concat(F.lit("e"), F.col("event_id") % 3).alias("evidence"))
+    v = table(spark, sf_dir, "events").select(F.col("user_id").alias("entity_id"), F.col("event_type").alias("phrase"), (F.col("event_id") % 4).alias("vote"), F.concat(F.lit("e"), F.col("event_id") % 3).alias("evidence"))
     return votes.merged_claims(v, ["entity_id", "phrase"], F.col("phrase") == "error").withColumn("evidence", F.array_join("evidence", ","))
 
 

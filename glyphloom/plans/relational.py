@@ -137,27 +137,28 @@ def run_state_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TRANSITIONS = """
-t AS (SELECT user_id, event_id, ts, CASE event_type WHEN 'click' THEN 'begin' WHEN 'view' THEN 'progress' WHEN 'purchase' THEN 'finish' WHEN 'error' THEN 'fail' ELSE 'transport' END AS event
-      FROM events WHERE event_id % 9 = 0),
-c AS (SELECT user_id, arg_max(CASE event WHEN 'begin' THEN 'running' WHEN 'finish' THEN 'complete' WHEN 'fail' THEN 'failed' WHEN 'transport' THEN 'failed' END, (ts, event_id))
+e AS (SELECT user_id || ':' || strftime(ts, '%Y-%m-%d') AS unit, * FROM events),
+t AS (SELECT unit, event_id, ts, CASE event_type WHEN 'click' THEN 'begin' WHEN 'view' THEN 'progress' WHEN 'purchase' THEN 'finish' WHEN 'error' THEN 'fail' ELSE 'transport' END AS event FROM e),
+c AS (SELECT unit, arg_max(CASE event WHEN 'begin' THEN 'running' WHEN 'finish' THEN 'complete' WHEN 'fail' THEN 'failed' WHEN 'transport' THEN 'failed' END, (ts, event_id))
         FILTER (WHERE event <> 'progress') AS status,
-      count(*) FILTER (WHERE event = 'begin') - count(*) FILTER (WHERE event = 'transport') AS attempts, count(*) FILTER (WHERE event = 'transport') AS operational_failures
-      FROM t GROUP BY user_id)"""
+      greatest(0, count(*) FILTER (WHERE event = 'begin') - count(*) FILTER (WHERE event = 'transport')) AS attempts, count(*) FILTER (WHERE event = 'transport') AS operational_failures
+      FROM t GROUP BY unit)"""
 
 
 @query(f"""WITH {_TRANSITIONS}
-SELECT u.user_id, u.rank, CASE WHEN status = 'failed' THEN 0 WHEN status = 'quarantined' THEN 1 WHEN status IN ('stale', 'pending') THEN 2 ELSE 3 END AS rung
-FROM (SELECT user_id, count(*) AS rank FROM events GROUP BY user_id) u LEFT JOIN c USING (user_id)
+SELECT u.unit, u.rank, CASE WHEN status = 'failed' THEN 0 WHEN status = 'quarantined' THEN 1 WHEN status IN ('stale', 'pending') THEN 2 ELSE 3 END AS rung
+FROM (SELECT unit, count(*) AS rank FROM e GROUP BY unit) u LEFT JOIN c USING (unit)
 WHERE status IS NULL OR (status IN ('failed', 'quarantined', 'stale', 'pending') AND attempts < 2 AND operational_failures < 6)
-ORDER BY rung, rank, user_id LIMIT 40""")
+ORDER BY rung, rank, unit LIMIT 40""")
 def checkpoint_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    """A user's events of a day are the transitions of one unit of work."""
+    unit = F.concat(F.col("user_id").cast("string"), F.lit(":"), F.date_format("ts", "yyyy-MM-dd"))
+    events = table(spark, sf_dir, "events").withColumn("unit", unit)
     names = {"click": "begin", "view": "progress", "purchase": "finish", "error": "fail"}
     kind = F.coalesce(F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("event_type")], F.lit("transport"))
-    # every ninth event is a transition here: the rest of the table is other work
-    own = state.replayed(events.where("event_id % 9 = 0").select("user_id", "event_id", "ts", kind.alias("event")), ["user_id"], ["ts", "event_id"])
-    entities = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("rank"))
-    return state.eligible(entities, own, "user_id", "rank", 40)
+    own = state.replayed(events.select("unit", "event_id", "ts", kind.alias("event")), ["unit"], ["ts", "event_id"])
+    entities = events.groupBy("unit").agg(F.count(F.lit(1)).alias("rank"))
+    return state.eligible(entities, own, "unit", "rank", 40)
 
 
 @query("""
