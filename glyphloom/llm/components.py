@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from glyphloom.llm._storage import dropped, stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, spent: list[DataFrame]) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     near = both if large else both.where(F.col("v") <= F.col("u"))
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # written, so that nothing stands between the join and its shuffles and a node with many edges can be split
+    least = stored(near.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-least")
+    spent.append(least)
     joined = near.join(least.hint("merge"), "u")
     moved = joined.where(F.col("v") > F.col("u")) if large else joined.where(F.col("v") != F.col("m"))
     out = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -32,8 +34,11 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """
     now = stored(edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
     for _ in range(most_rounds):
-        new = stored(_star(_star(now, True), False).distinct(), "cc")
-        dropped(now)
+        spent = [now]
+        larger = stored(_star(now, True, spent).distinct(), "cc")
+        spent.append(larger)
+        new = stored(_star(larger, False, spent).distinct(), "cc")
+        dropped(*spent)
         now = new
         # done when it is a forest of stars: no node has two centres, and no centre has one of its own
         ends = now.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("centre"))
