@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_ACCENTS, _NOT_TERM, _NOT_ALPHANUMERIC = re.compile("[\u0300-\u036F]+"), re.compile("[^a-z0-9]+"), re.compile(r"[\W_]+")
 #: Fixed value: a word starts with a letter or number and goes on with those and marks.
 WORD = r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*"
 #: Fixed value: the words that content tokens leave out.
@@ -63,8 +65,7 @@ def normalised_term(text: pd.Series) -> pd.Series:
     def one(x: str | None) -> str | None:
         if x is None:
             return None
-        plain = "".join(c for c in unicodedata.normalize("NFKD", x.lower()) if not "̀" <= c <= "ͯ")
-        return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in plain).split())
+        return _NOT_TERM.sub(" ", _ACCENTS.sub("", unicodedata.normalize("NFKD", x.lower()))).strip()
 
     return text.map(one)
 
@@ -76,8 +77,7 @@ def normalised_record_text(text: pd.Series) -> pd.Series:
     def one(x: str | None) -> str | None:
         if x is None:
             return None
-        folded = unicodedata.normalize("NFKC", x).lower()
-        return " ".join("".join(c if unicodedata.category(c)[0] in "LN" else " " for c in folded).split())
+        return _NOT_ALPHANUMERIC.sub(" ", unicodedata.normalize("NFKC", x).lower()).strip()
 
     return text.map(one)
 

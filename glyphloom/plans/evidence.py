@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphloom.functions import text as tx
-from glyphloom.operators import dedup, graph, retrieval, sampling, search, threads
+from glyphloom.operators import dedup, graph, index, retrieval, sampling, search, threads
 from glyphloom.plans.base import query, table
 
 _WORDS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}\p{{M}}]*')"
@@ -91,6 +91,48 @@ def bm25_word_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.bm25(table(spark, sf_dir, "documents"), "doc_id", "text", _TERMS).withColumn("relevance", F.round("relevance", 6))
 
 
+_INDEX_TERMS = ["that", "with"]
+_INDEXED = r"""
+words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}][\p{L}\p{N}\p{M}]*') AS ws,
+                 len(list_distinct(regexp_extract_all(coalesce(text, ''), '[^\s\p{Z}\x1c-\x1f\x85]'))) AS glyphs, coalesce(text, '') AS t FROM documents),
+contents AS (SELECT t, min(doc_id) AS cid, any_value(ws) AS ws, any_value(len(ws) + glyphs) AS length FROM words GROUP BY t),
+counted AS (SELECT cid, t, length, len(list_filter(ws, lambda w: w = 'that')) AS a, len(list_filter(ws, lambda w: w = 'with')) AS b FROM contents),
+facts AS (SELECT count(*) AS n, avg(length) AS l, count(*) FILTER (WHERE a > 0) AS na, count(*) FILTER (WHERE b > 0) AS nb FROM counted),
+scored AS (
+  SELECT t, greatest(ln((n - na + 0.5) / (na + 0.5)), 0) AS ia, greatest(ln((n - nb + 0.5) / (nb + 0.5)), 0) AS ib, a, b, 1.2 * (0.25 + 0.75 * length / l) AS k FROM counted, facts WHERE a > 0 AND b > 0)"""
+
+
+def _index(spark: SparkSession, sf_dir: str) -> index.Index:
+    """The index of the documents, built where the session has none that is up to date."""
+    source = f"{sf_dir}/documents.parquet"
+    path = f"{index.shared_folder(spark)}/glyphloom-index-{index.fingerprint(spark, source)[:16]}"
+    try:
+        return index.Index(spark, path, source)
+    except index.StaleIndex:
+        index.build(spark, table(spark, sf_dir, "documents").select(F.col("doc_id").alias("docid"), "text", "lang"), source, path)
+        return index.Index(spark, path, source)
+
+
+@query(f"""WITH {_INDEXED}
+SELECT doc_id, round(-(CASE WHEN ia > 0 THEN ia ELSE 1e-6 END * a * 2.2 / (a + k) + CASE WHEN ib > 0 THEN ib ELSE 1e-6 END * b * 2.2 / (b + k)), 6) AS relevance
+FROM scored JOIN words USING (t)""")
+def indexed_word_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _index(spark, sf_dir)
+    return own.sources(own.words(" ".join(_INDEX_TERMS))).select(F.col("docid").alias("doc_id"), F.round("relevance", 6).alias("relevance"))
+
+
+@query("SELECT doc_id FROM documents WHERE contains(text, 'thea of')")
+def indexed_literal_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _index(spark, sf_dir)
+    return own.sources(own.literal("thea of")).select(F.col("docid").alias("doc_id"))
+
+
+@query("SELECT doc_id FROM documents WHERE contains(text, 'é')")
+def indexed_code_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _index(spark, sf_dir)
+    return own.sources(own.code_point(0xE9)).select(F.col("docid").alias("doc_id"))
+
+
 @query("SELECT doc_id, substr(text, greatest(1, strpos(lower(text), 'thea of') - 100), 700) AS excerpt FROM documents WHERE contains(text, 'thea of')")
 def literal_search_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = search.literal_matches(table(spark, sf_dir, "documents"), "text", "thea of")
