@@ -45,16 +45,28 @@ def as_map(counts: DataFrame, key: str, value: str) -> DataFrame:
     return counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, value)))).alias("counts"))
 
 
-def floor_percentiles(rows: DataFrame, value: str, shares: list[float]) -> DataFrame:
+def floor_percentiles(rows: DataFrame, value: str, shares: list[float], buckets: int = 1024) -> DataFrame:
     """The values at index floor((n - 1) * p) of the sorted values, without sorting rows.
 
-    Values are counted first; positions in the running counts of the distinct values give the answer.
+    Values are counted first.  Distinct values are then dealt into ``buckets`` ranges by approximate quantiles: running sums
+    over the ranges, at most ``buckets`` rows, tell in which range each place lies, and only there are values put in order.
     """
     from pyspark.sql import Window as W
 
-    counts = rows.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    upto = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy(F.lit(0)).orderBy("_v"))).withColumn("_all", F.sum("_n").over(W.partitionBy(F.lit(0))))
-    return upto.agg(*[F.min(F.when(F.col("_upto") > F.floor((F.col("_all") - 1) * p), F.col("_v"))).alias(f"p{round(p * 100)}") for p in shares])
+    counts = rows.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).where("_v is not null")
+    cuts = sorted(set(counts.approxQuantile("_v", [k / buckets for k in range(1, buckets)], 0.5 / buckets)))
+    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.expr("cast(array() as array<double>)")
+    placed = counts.withColumn("_b", F.size(F.filter(bounds, lambda c: c < F.col("_v"))))
+    totals = placed.groupBy("_b").agg(F.sum("_n").alias("_in"))
+    everything = W.partitionBy(F.lit(0))
+    totals = totals.withColumns({"_before": F.sum("_in").over(everything.orderBy("_b")) - F.col("_in"), "_all": F.sum("_in").over(everything)})
+    at = {f"p{round(p * 100)}": F.floor((F.col("_all") - 1) * p) for p in shares}
+    wanted = F.lit(False)
+    for place in at.values():
+        wanted = wanted | ((F.col("_before") <= place) & (place < F.col("_before") + F.col("_in")))
+    near = placed.join(F.broadcast(totals.where(wanted)), "_b")
+    upto = near.withColumn("_upto", F.col("_before") + F.sum("_n").over(W.partitionBy("_b").orderBy("_v")))
+    return upto.agg(*[F.min(F.when(F.col("_upto") > place, F.col("_v"))).alias(name) for name, place in at.items()])
 
 
 def rate(part: Column, whole: Column) -> Column:
@@ -103,3 +115,42 @@ def capacity(calls: int, minutes: float, tokens: int, entities: int, calls_per_e
         "hours": math.ceil(needed / per_minute / 60 * 10) / 10 if per_minute else math.inf,
         "weekly_entities": math.floor(per_minute * 60 * 24 * 7 / calls_per_entity),
     }
+
+
+def inspection_report(documents: DataFrame, candidates: DataFrame, hits: DataFrame, routing: DataFrame, sites: DataFrame) -> DataFrame:
+    """One row on a whole run: sizes, comment-only threads, the five warnings, and the status that follows.
+
+    ``documents``: site, kind, id, qid, post_id, type, accepted, answers, comments; ``candidates``: site, qid; ``hits``: site,
+    kind, id, post_id; ``routing``: site, id, qid; ``sites``: site, complete.  Every part is one row before they meet.
+    """
+    n = lambda rows, name: rows.agg(F.count(F.lit(1)).alias(name))
+    posts, key = documents.where("kind = 'post'"), ["site", "_id"]
+    asked = posts.select("site", F.col("id").alias("qid"))
+    routed = hits.join(routing.select("site", F.col("id").alias("post_id"), "qid"), ["site", "post_id"])
+    alone = exclusive_groups(routed.join(candidates, ["site", "qid"], "left_semi").withColumn("_t", F.struct("site", "qid")), "_t", F.col("kind") == "comment", F.col("kind") != "comment")
+    questions = posts.where("type = 1")
+    accepted = questions.where("accepted is not null").select("site", F.col("accepted").alias("_id"))
+
+    def mismatches(claims: DataFrame, claimed: str, members: DataFrame) -> DataFrame:
+        counted = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        own = claims.where(F.col(claimed).isNotNull()).select("site", F.col("id").alias("_id"), F.col(claimed).alias("_c"))
+        return own.join(counted, key, "left").where(F.col("_c") != F.coalesce("_n", F.lit(0)))
+
+    comments = documents.where("kind = 'comment'").select("site", F.col("post_id").alias("_id"))
+    answers = posts.where("id <> qid").select("site", F.col("qid").alias("_id"))
+    warnings = {
+        "missing_questions": orphans(candidates, asked, ["site", "qid"]),
+        "orphan_discovery_hits": orphans(hits, routing.select("site", F.col("id").alias("post_id")), ["site", "post_id"]),
+        "missing_accepted_answers": orphans(accepted, posts.select("site", F.col("id").alias("_id")), key),
+        "comment_count_mismatches": mismatches(posts, "comments", comments),
+        "answer_count_mismatches": mismatches(questions, "answers", answers),
+    }
+    parts = {"candidates": candidates, "documents": documents, "discovery_hits": hits, "comment_only_threads": alone, **warnings}
+    out = sites.agg(F.coalesce(F.bool_and("complete"), F.lit(False)).alias("_complete"))
+    for name, rows in parts.items():
+        out = out.join(F.broadcast(n(rows, name)))  # one row each
+    warned = F.lit(False)
+    for name in warnings:
+        warned = warned | (F.col(name) > 0)
+    status = F.when(~F.col("_complete"), "incomplete").when(warned, "complete_with_warnings").otherwise("complete")
+    return out.select(status.alias("status"), *parts)
