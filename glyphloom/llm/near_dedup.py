@@ -44,7 +44,7 @@ HASHES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Bits of the sketch of the shingles themselves.
 SET_BITS = 2048
-FANOUT = 500
+FANOUT = 200
 #: Sets of a chunk of a large bucket; a task compares two chunks at once.
 CELL = 256
 _MULTIPLY = (mix(np.arange(1, HASHES + 1).astype(U64)) | U64(1)).astype(np.uint32)
