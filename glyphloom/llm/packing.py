@@ -9,6 +9,8 @@ segments or loss tokens run out.  Nothing is dropped and each token lies in exac
 ``pack_pieces`` is the packer for any stream of examples; its pool is bounded, so memory does not grow
 with the input.  ``pack_documents`` tokenizes and packs each input partition in one pass without a
 shuffle; at the end of a partition its last tokens go into sequences that are powers of two long.
+``pack_conversations`` does so with chat-formatted conversations, where the limit of loss tokens binds: of their tokens
+only those under the loss mask, and the closing id, bear loss.
 Sequences are numbered by partition (upper bits) and order, so a retried task gives the same rows.
 
 Defined cases: a null text counts as empty and has the closing id alone; null ids and repeated rows are
@@ -19,7 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,22 +31,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphloom.llm._storage import small_batches
-from glyphloom.llm.token_counts import encoded
+from glyphloom.llm.chat_format import masked_conversations
+from glyphloom.llm.token_counts import encoded, memo
 
 #: Id that ends every document.
 END_ID = 1
-_SCHEMA = "doc_id {}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+_FACTS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
 @dataclass(frozen=True)
 class Limits:
     tokens: int = 2048
-    segments: int = 256
+    segments: int = 64
     loss_tokens: int = 2048
     #: Examples that the packer chooses from; bounds its memory.
     pool: int = 256
 
 
+#: For conversations: at most 16 to a sequence, and half of its tokens under loss.
+CHAT_LIMITS = Limits(segments=16, loss_tokens=1024)
+
+
 @dataclass
 class Piece:
     """Tokens ``start`` to ``start + len(ids)`` of an example; ``loss`` marks those that bear loss."""
@@ -133,13 +140,10 @@ def pack_pieces(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[
         yield placed
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end_id: int = END_ID) -> DataFrame:
-    """The pieces of all rows of ``docs`` (doc_id, text): see the schema above.
-
-    The first token of a document has no context and bears no loss; all others do.
-    """
-    small_batches(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def _packed(frame: DataFrame, examples: Callable[[pa.RecordBatch], Iterator[tuple[object, np.ndarray, np.ndarray]]], limits: Limits) -> DataFrame:
+    """The pieces of all rows of ``frame``, whose first column names them; ``examples`` gives name, ids and loss mask of a batch's rows."""
+    small_batches(frame.sparkSession)
+    name, kind = frame.columns[0], frame.schema[0].dataType.simpleString()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds: list[pa.DataType] = []
@@ -147,20 +151,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
         def pieces() -> Iterator[Piece]:
             for batch in batches:
                 kinds[:] = [batch.schema.field(0).type]
-                owners, row = batch.column(0).to_pylist(), 0
-                for counts, ids in encoded(tokenizer, batch.column(1), True):
-                    ends = np.cumsum(counts)
-                    for n, end in zip(counts, ends, strict=True):
-                        own = np.append(ids[end - n : end], np.uint32(end_id))
-                        loss = np.ones(len(own), bool)
-                        loss[0] = False
-                        yield Piece(owners[row], 0, own, loss, len(own))
-                        row += 1
+                for key, ids, loss in examples(batch):
+                    yield Piece(key, 0, ids, loss, len(ids))
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
-            arrays = [pa.array(columns[0], kinds[0])] + [pa.array(c, pa.int64()) for c in columns[1:]]
-            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], kinds[0])] + [pa.array(c, pa.int64()) for c in columns[1:]], names=[name, *_FACTS])
 
         first = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
@@ -168,7 +164,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
             offset = 0
             for p in sequence:
                 crc = zlib.crc32(np.ascontiguousarray(p.ids, "<u4").tobytes())
-                rows.append((p.key, p.start, len(p.ids), crc, p.total, first + number, offset))
+                rows.append((p.key, p.start, len(p.ids), crc, p.total, first + number, offset, int(p.loss.sum())))
                 offset += len(p.ids)
             if len(rows) >= 8192:
                 yield batch_of(rows)
@@ -176,4 +172,41 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), e
         if rows:
             yield batch_of(rows)
 
-    return docs.select(F.col("doc_id"), F.col("text")).mapInArrow(pack, _SCHEMA.format(kind))
+    return frame.mapInArrow(pack, ", ".join([f"`{name}` {kind}", *(f"{c} bigint" for c in _FACTS)]))
+
+
+def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end_id: int = END_ID) -> DataFrame:
+    """The pieces of all rows of ``docs`` (doc_id, text): doc_id and ``_FACTS``.
+
+    The first token of a document has no context and bears no loss; all others do.
+    """
+
+    def examples(batch: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray, np.ndarray]]:
+        owners = iter(batch.column(0).to_pylist())
+        for counts, ids in encoded(tokenizer, batch.column(1), True):
+            for n, end in zip(counts, np.cumsum(counts), strict=True):
+                own = np.append(ids[end - n : end], np.uint32(end_id))
+                loss = np.ones(len(own), bool)
+                loss[0] = False
+                yield next(owners), own, loss
+
+    return _packed(docs.select("doc_id", "text"), examples, limits)
+
+
+def pack_conversations(rows: DataFrame, tokenizer: str, limits: Limits = CHAT_LIMITS, end_id: int = END_ID) -> DataFrame:
+    """The pieces of all conversations of ``rows`` (conv_id, turn, role, text), as they are formatted: conv_id and ``_FACTS``.
+
+    A token bears loss if it begins under the loss mask; so does the id that closes a conversation.
+    """
+
+    def examples(batch: pa.RecordBatch) -> Iterator[tuple[object, np.ndarray, np.ndarray]]:
+        encode = memo(tokenizer, True).tokenizer.encode
+        for key, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            found = encode(text, add_special_tokens=False)
+            edges = np.array([x for s in spans for x in (s["begin"], s["end"])], np.int64)
+            begins = np.array([o[0] for o in found.offsets], np.int64)
+            # between an odd edge and the next: under the mask
+            loss = np.append(np.searchsorted(edges, begins, "right") % 2 == 1, True)
+            yield key, np.array([*found.ids, end_id], np.uint32), loss
+
+    return _packed(masked_conversations(rows).select("conv_id", "formatted", "loss_mask"), examples, limits)

@@ -247,6 +247,41 @@ def test_packer_keeps_every_limit(limits):
         assert [p.start for p in own] == np.cumsum([0, *[len(p.ids) for p in own]])[:-1].tolist()
 
 
+@pytest.mark.parametrize(("limits", "binding"), [(packing.Limits(64, 50, 64, 8), 0), (packing.Limits(10_000, 4, 10_000, 8), 1), (packing.Limits(10_000, 50, 32, 8), 2)])
+def test_each_limit_closes_sequences(limits, binding):
+    rng = np.random.default_rng(4)
+    examples = [packing.Piece(k, 0, np.arange(n, dtype=np.uint32), np.arange(n) % 2 == 1, n) for k, n in enumerate(rng.integers(10, 40, 200).tolist())]
+    found = list(packing.pack_pieces(iter(examples), limits))[:-4]
+    sizes = np.array([(sum(len(p.ids) for p in s), len(s), sum(int(p.loss.sum()) for p in s)) for s in found])
+    caps = (limits.tokens, limits.segments, limits.loss_tokens)
+    # most sequences end at that limit, but for the pieces that closing at a power of two gives back, and at no other
+    assert np.mean(sizes[:, binding] >= caps[binding] / 2) > 0.75
+    assert all(sizes[:, k].max() < caps[k] for k in range(3) if k != binding)
+
+
+def test_packed_conversations(spark, tokenizer):
+    from glyphloom.llm import chat_format
+
+    rows = [(c, t, "assistant" if t % 2 else "user", f"turn {t} of {c}: " + "words and more " * ((c * 7 + t) % 30)) for c in range(60) for t in range(4)]
+    rows += [(100, 0, "user", "no answer"), (101, 0, "assistant", "é </turn>\n\\ ### x"), (None, 0, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    masked = {r["conv_id"]: r for r in chat_format.masked_conversations(frame).collect()}
+    got = packing.pack_conversations(frame, tokenizer_path()).collect()
+    sequences, loss, total = defaultdict(list), defaultdict(int), {}
+    for r in got:
+        sequences[r["sequence_id"]].append(r)
+        loss[r["conv_id"]] += r["loss_tokens"]
+        total[r["conv_id"]] = r["doc_tokens"]
+    limits = packing.CHAT_LIMITS
+    for parts in sequences.values():
+        assert sum(r["length"] for r in parts) <= limits.tokens and len(parts) <= limits.segments and sum(r["loss_tokens"] for r in parts) <= limits.loss_tokens
+    for conv, r in masked.items():
+        whole = tokenizer.encode(r["formatted"], add_special_tokens=False)
+        under = sum(any(s["begin"] <= a < s["end"] for s in r["loss_mask"]) for a, _ in whole.offsets)
+        assert (total[conv], loss[conv]) == (len(whole.ids) + 1, under + 1)
+    assert loss[100] == 1 and packing.pack_conversations(frame.limit(0), tokenizer_path()).count() == 0
+
+
 @pytest.mark.parametrize(("width", "rows"), [(4, brute.documents()), (5, brute.planted()), (4, brute.planted(30))])
 def test_components_are_exact(spark, width, rows):
     got = near_dedup.near_duplicates(brute.frame(spark, rows).repartition(3), width=width, percent=80).collect()

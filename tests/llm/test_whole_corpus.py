@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import random
 
-from glyphloom.llm import near_dedup
+from glyphloom.llm import language_id, near_dedup, quality
+from tests.llm import brute
 
 
 def _words(seed: int, n: int = 60) -> str:
@@ -32,3 +33,40 @@ def test_language_stage_rejects_text_without_evidence(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, "").collect()}
     assert got == {*range(20), 23}
+
+
+def test_run_on_awkward_rows(spark, tmp_path):
+    """Nulls everywhere, repeated rows, ids on several texts, columns with clashing names: the whole pipeline, and on no rows at all."""
+    import corpus_pipeline
+
+    rows = brute.documents() + [(None, _words(9), None, None, None, "x", 2, "t"), (0, _words(10), "en", "a", 5, None, None, None), (None, None, None, None, None, None, None, None)]
+    labels = [(0, 1, 0), (5, 0, 0), (None, 1, 0), (3, None, None), (77, 1, 0)]
+    for name, own, marks in (("some", rows, labels), ("none", [], [])):
+        folder = str(tmp_path / name)
+        docs = brute.frame(spark, own).withColumnsRenamed({"size": "keep", "target": "score"})
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        packed = corpus_pipeline.run(spark, folder).collect()
+        if not own:
+            assert packed == []
+            continue
+        now = docs
+        for stage_name, stage in corpus_pipeline.STAGES[:4]:
+            out = stage(spark, now, folder)
+            assert out.columns == now.columns, stage_name
+            now = spark.createDataFrame(out.collect(), out.schema)
+        # the run packs every document that the four stages keep, and no other
+        assert sum(r["start"] == 0 for r in packed) == now.count() > 0
+
+
+def test_quality_and_language_stages_keep_what_their_operators_keep(spark, sf_dir):
+    import corpus_pipeline
+
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    kept = {r["doc_id"] for r in corpus_pipeline.quality_stage(spark, docs, sf_dir).collect()}
+    assert kept == {r["doc_id"] for r in quality.classify(docs, labels).where("keep").collect()}
+    # most labelled documents fall on the side of their label
+    told = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    assert sum((d in kept) == bool(q) for d, q in told.items()) > 0.95 * len(told)
+    sure = {r["doc_id"] for r in corpus_pipeline.language_stage(spark, docs, sf_dir).collect()}
+    assert sure == {r["doc_id"] for r in language_id.identify(docs).collect() if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.MIN_LANGUAGE_SCORE}
