@@ -15,8 +15,8 @@ from glyphloom.llm._storage import stored
 from glyphloom.llm.queries import tokenizer_path
 
 #: A language is believed from this score on.  The score is the share of the text's n-grams that the language knows, times
-#: that share's part of the best two: text in no known language has next to no share, an even mixture of two gets a quarter.
-MIN_LANGUAGE_SCORE = 0.25
+#: that share's part of the best two: text in no known language has next to no share, an even mixture of two gets about a quarter.
+MIN_LANGUAGE_SCORE = 0.3
 #: What the stages add, while they decide, is named so that no column of the documents is hidden by it.
 PREFIX = "_pipeline_"
 
