@@ -41,7 +41,9 @@ def select_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lanes.source_lanes(_sources(spark, sf_dir)).select("page_id", "lane", "priority", "reasons")
 
 
-@query()
+# no text has a label, an escape or a run of capitals that is a character's name
+@query(r"""
+SELECT doc_id, array_to_string(list_sort(list_transform(list_distinct(regexp_extract_all(coalesce(text, ''), '[^\s\p{Z}\x1c-\x1f\x85]')), lambda c: 'cp' || lpad(lower(hex(unicode(c))), 6, '0'))), ' ') AS glyphs, '' AS refs FROM documents""")
 def index_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:

@@ -178,13 +178,27 @@ def failure_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.failure_rollup(f).withColumn("roles", F.array_join("roles", ","))
 
 
-@query()
+# the walk itself: whose turn it is, and how many each category has given
+@query("""
+WITH RECURSIVE c AS (SELECT p_brand, count(*) AS n FROM part GROUP BY 1),
+s AS (
+  SELECT 0 AS pick, 0 AS turn, list(p_brand ORDER BY p_brand) AS names, list(n ORDER BY p_brand) AS left_, list(0::BIGINT ORDER BY p_brand) AS took, NULL::VARCHAR AS chosen, 0::BIGINT AS nth FROM c
+  UNION ALL
+  SELECT pick + 1, CASE WHEN left_[i] = 1 THEN turn ELSE turn + 1 END,
+         CASE WHEN left_[i] = 1 THEN names[1:i - 1] || names[i + 1:] ELSE names END,
+         CASE WHEN left_[i] = 1 THEN left_[1:i - 1] || left_[i + 1:] ELSE left_[1:i - 1] || [left_[i] - 1] || left_[i + 1:] END,
+         CASE WHEN left_[i] = 1 THEN took[1:i - 1] || took[i + 1:] ELSE took[1:i - 1] || [took[i] + 1] || took[i + 1:] END,
+         names[i], took[i] + 1
+  FROM (SELECT *, (turn % len(names) + 1)::BIGINT AS i FROM s WHERE pick < 200 AND len(names) > 0)),
+r AS (SELECT p_brand, p_retailprice, p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey) AS nth FROM part)
+SELECT r.p_brand, p_retailprice, p_partkey, pick::BIGINT AS pick FROM s JOIN r ON s.chosen = r.p_brand AND s.nth = r.nth""")
 def rotating_exploration(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_brand", "p_retailprice", "p_partkey")
     return sampling.rotating_fill(parts, "p_brand", ["p_retailprice", "p_partkey"], 200)
 
 
-@query()
+@query(r"""
+SELECT doc_id, trim(regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', ' ', 'g')) AS term, trim(regexp_replace(lower(nfc_normalize(text)), '[^\p{L}\p{N}]+', ' ', 'g')) AS record_text FROM documents""")
 def normalised_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.normalised_term("text").alias("term"), tx.normalised_record_text("text").alias("record_text"))
 

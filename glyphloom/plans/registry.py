@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from glyphloom.plans import contracts, evidence, factory, relational  # noqa: F401  (they register)
+from glyphloom.plans import contracts, curation, evidence, factory, relational  # noqa: F401  (they register)
 from glyphloom.plans.base import QUERIES, SQL
 
 
