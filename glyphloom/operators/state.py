@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Attempts allowed for quality failures and for transport failures.
 QUALITY_BUDGET, TRANSPORT_BUDGET = 2, 6
@@ -116,6 +120,34 @@ def stale_phases(records: DataFrame, keys: DataFrame, on: str) -> DataFrame:
 
 
 def throttled(events: DataFrame, keys: list[str], ts: str, tie: str, amount: str, seconds: float = 0.4) -> DataFrame:
-    """At most one row per key in each ``seconds`` step of time; amounts of the dropped ones are added to it."""
-    step = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(seconds * 1e6)).alias("step")
-    return events.groupBy(*keys, step).agg(F.max(F.struct(ts, tie)).alias("_last"), F.sum(amount).alias(amount), F.count(F.lit(1)).alias("merged")).select(*keys, F.col(f"_last.{ts}").alias(ts), F.col(f"_last.{tie}").alias(tie), amount, "merged")
+    """At most one row of a key in ``seconds`` since its last one; amounts of those held back are added to the next.
+
+    What is left when a key ends is its last row.  Each key's events are walked in order as a stream, so memory doesn't
+    grow with a key.  Returns keys, ts, tie, amount and merged (events that the row stands for).
+    """
+    gap = round(seconds * 1_000_000)
+    slim = events.select(*keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("_at"), ts, tie, amount)
+    dealt = slim.repartition(*keys).sortWithinPartitions(*keys, "_at", tie)
+    schema = T.StructType([*(slim.schema[c] for c in (*keys, ts, tie)), T.StructField(amount, T.DoubleType()), T.StructField("merged", T.LongType())])
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, last, held = None, 0, None
+
+        for pdf in frames:
+            out: list[tuple] = []
+            for row in pdf.itertuples(index=False, name=None):
+                key, at, own = row[: len(keys)], row[len(keys)], row[len(keys) + 1 :]
+                if key != now:
+                    if held is not None:
+                        out.append(held)
+                    now, last, held = key, None, None
+                total, merged = (held[-2], held[-1]) if held is not None else (0.0, 0)
+                held = (*key, *own[:2], total + (0.0 if pd.isna(own[2]) else float(own[2])), merged + 1)
+                if last is None or at - last >= gap:
+                    out.append(held)
+                    last, held = at, None
+            yield pd.DataFrame(out, columns=schema.names)
+        if held is not None:
+            yield pd.DataFrame([held], columns=schema.names)
+
+    return dealt.mapInPandas(walk, schema)

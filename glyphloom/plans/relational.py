@@ -170,9 +170,18 @@ def progress_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.progress_rate(table(spark, sf_dir, "events"), ["user_id"], "ts", "value", "event_id", seconds=86400)
 
 
+# from each row that goes out to the first that is an hour later; what is left behind the last one goes out at the end
 @query("""
-WITH s AS (SELECT *, floor(epoch_us(ts) / 3600e6) AS step FROM events)
-SELECT event_type, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id, round(sum(value), 4) AS value, count(*) AS merged FROM s GROUP BY event_type, step""")
+WITH RECURSIVE e AS (SELECT *, epoch_us(ts) AS us, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM events),
+o AS (
+  SELECT event_type, us, k FROM e WHERE k = 1
+  UNION ALL SELECT n.event_type, n.us, n.k FROM (
+    SELECT e.event_type, e.us, e.k, row_number() OVER (PARTITION BY e.event_type ORDER BY e.k) AS r FROM o JOIN e ON e.event_type = o.event_type AND e.us >= o.us + 3600000000) n WHERE n.r = 1),
+l AS (SELECT event_type, max(k) AS k FROM e GROUP BY 1),
+b AS (SELECT event_type, k FROM o UNION SELECT event_type, k FROM l),
+s AS (SELECT event_type, k, coalesce(lag(k) OVER (PARTITION BY event_type ORDER BY k), 0) AS before FROM b)
+SELECT s.event_type, arg_max(ts, e.k) AS ts, arg_max(event_id, e.k) AS event_id, round(sum(value), 4) AS value, count(*) AS merged
+FROM s JOIN e ON e.event_type = s.event_type AND e.k > s.before AND e.k <= s.k GROUP BY s.event_type, s.k""")
 def throttled_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = state.throttled(table(spark, sf_dir, "events").select("event_type", "ts", "event_id", "value"), ["event_type"], "ts", "event_id", "value", seconds=3600)
     return out.withColumn("value", F.round("value", 4))

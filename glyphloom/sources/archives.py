@@ -1,7 +1,8 @@
 """Dump rows straight from archives: members of zip and tar files, parsed as they stream.
 
-Archives come through Spark's binary file source, so any store that Spark reads works; one archive is one
-row and is read by one task, its members row by row.  Members with absolute or climbing paths and anything but
+One archive is read by one task, its members row by row.  Where the worker can open the archive's store itself
+(Arrow's file systems: local, hdfs, s3, gs), it is streamed from there and may have any size; from a store that only
+Spark reads it comes as one binary row, of 2 GiB at most.  Members with absolute or climbing paths and anything but
 regular files are refused, and so are documents with a type declaration, nested rows, a root that doesn't
 fit the member's name, and rows beyond 4 MiB.
 """
@@ -38,9 +39,9 @@ def safe_member(name: str) -> bool:
     return bool(name) and not name.startswith(("/", "\\")) and ".." not in parts and ":" not in parts[0]
 
 
-def members(content: bytes) -> Iterator[tuple[str, io.BufferedIOBase]]:
-    """Name and stream of every regular member; an unsafe one is an error."""
-    raw = io.BytesIO(content)
+def members(content: bytes | io.IOBase) -> Iterator[tuple[str, io.BufferedIOBase]]:
+    """Name and stream of every regular member of an archive, given whole or as a seekable stream; an unsafe one is an error."""
+    raw = io.BytesIO(content) if isinstance(content, bytes | bytearray | memoryview) else content
     if zipfile.is_zipfile(raw):
         with zipfile.ZipFile(raw) as z:
             for info in z.infolist():
@@ -96,27 +97,51 @@ def dump_rows(stream: io.BufferedIOBase, root: str) -> Iterator[dict[str, str]]:
     yield from ready
 
 
-def archive_rows(spark: SparkSession, path: str, tables: tuple[str, ...] = tuple(DUMP_COLUMNS)) -> DataFrame:
-    """(archive, member, table, ordinal, attributes) of the dump rows in all archives under a path."""
+def _opened(path: str):
+    """A seekable stream of an archive, or None where Arrow has no file system for its store."""
+    from pyarrow import fs
+
+    try:
+        system, own = fs.FileSystem.from_uri(path)
+        return system.open_input_file(own)
+    except (OSError, ValueError, NotImplementedError):
+        return None
+
+
+def archive_rows(spark: SparkSession, path: str, tables: tuple[str, ...] = tuple(DUMP_COLUMNS), streamed: bool = True) -> DataFrame:
+    """(archive, member, table, ordinal, attributes) of the dump rows in all archives under a path.
+
+    ``streamed``: the workers open the archives themselves; without it, or from stores that they can't open, they come through Spark.
+    """
+
+    def rows_in(archive: str, content) -> Iterator[pd.DataFrame]:
+        for name, stream in members(content):
+            table = member_table(name)
+            if table not in tables:
+                continue
+            batch: list[tuple] = []
+            for ordinal, row in enumerate(dump_rows(stream, table), 1):
+                batch.append((archive, name, table, ordinal, row))
+                if len(batch) >= 2000:
+                    yield pd.DataFrame(batch, columns=_COLUMNS)
+                    batch = []
+            if batch:
+                yield pd.DataFrame(batch, columns=_COLUMNS)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for archive, content in zip(pdf["path"], pdf["content"], strict=True):
-                for name, stream in members(content):
-                    table = member_table(name)
-                    if table not in tables:
-                        continue
-                    batch: list[tuple] = []
-                    for ordinal, row in enumerate(dump_rows(stream, table), 1):
-                        batch.append((archive, name, table, ordinal, row))
-                        if len(batch) >= 2000:
-                            yield pd.DataFrame(batch, columns=_COLUMNS)
-                            batch = []
-                    if batch:
-                        yield pd.DataFrame(batch, columns=_COLUMNS)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(run, "archive string, member string, table string, ordinal bigint, attributes map<string,string>")
+            for k, archive in enumerate(pdf["path"]):
+                if "content" in pdf:
+                    yield from rows_in(archive, pdf["content"].iloc[k])
+                else:
+                    with _opened(archive) as stream:
+                        yield from rows_in(archive, stream)
+
+    files = spark.read.format("binaryFile").load(path)
+    first = files.select("path").first()
+    # only the names are read where the workers open the files
+    own = files.select("path") if streamed and first is not None and _opened(first["path"]) is not None else files.select("path", "content")
+    return own.mapInPandas(run, "archive string, member string, table string, ordinal bigint, attributes map<string,string>")
 
 
 _COLUMNS = ["archive", "member", "table", "ordinal", "attributes"]

@@ -20,11 +20,18 @@ SYNTHETIC_POSTS = ("1000000001", "1000000010")
 ALLOWED_HOSTS = r"^https://([a-z0-9-]+\.)*(stackexchange|stackoverflow|superuser|serverfault|askubuntu|archive)\.(com|org|net)(/|$)"
 
 
+#: Longest row of a dump, in characters.
+MOST_ROW_CHARS = 4 << 20
+
+
 def dump_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Rows of a dump file (plain or .gz), every attribute a string, absent ones null."""
+    """Rows of a dump file (plain or .gz), every attribute a string, absent ones null; a row beyond MOST_ROW_CHARS is an error."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in DUMP_COLUMNS[table]])
     reader = spark.read.format("xml").option("rowTag", "row").option("attributePrefix", "").option("mode", "FAILFAST")
-    return reader.schema(schema).load(path)
+    rows = reader.schema(schema).load(path)
+    size = sum((F.coalesce(F.length(c), F.lit(0)) for c in DUMP_COLUMNS[table][1:]), F.coalesce(F.length(DUMP_COLUMNS[table][0]), F.lit(0)))
+    first = DUMP_COLUMNS[table][0]
+    return rows.withColumn(first, F.when(size > MOST_ROW_CHARS, F.raise_error(F.lit("a row is larger than 4 MiB")).cast("string")).otherwise(F.col(first)))
 
 
 def inventory(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -38,9 +45,22 @@ def inventory(spark: SparkSession, folder: str) -> dict[str, str]:
 
 
 def without_declarations(spark: SparkSession, path: str) -> bool:
-    """True if the first lines of the file declare no document type or entity."""
-    head = spark.read.text(path).limit(20)
-    return head.where(F.col("value").rlike(r"<!(DOCTYPE|ENTITY)")).isEmpty()
+    """True if no line of the file declares a document type or an entity; attributes can't hold such a declaration, their < is escaped."""
+    return spark.read.text(path).where(F.col("value").rlike(r"<!(DOCTYPE|ENTITY)")).isEmpty()
+
+
+def right_root(spark: SparkSession, path: str, table: str) -> bool:
+    """True if the file's document element is the table's, in any case."""
+    opening = spark.read.text(path).where(F.col("value").rlike(r"<[A-Za-z]")).limit(1).select(F.lower(F.regexp_extract("value", r"<([A-Za-z]+)", 1)).alias("root")).first()
+    return opening is not None and opening["root"] == table.lower()
+
+
+def manifest_of(catalog: DataFrame, release: str, sites: list[str] | None = None) -> DataFrame:
+    """Catalog entries (release, site, archive, files, sha256, bytes) of a release as a manifest, checked, in the catalog's order."""
+    own = catalog.where(F.col("release") == release)
+    if sites is not None:
+        own = own.where(F.col("site").isin(*sites))
+    return valid_sites(own.withColumn("archive", F.nullif(F.trim("archive"), F.lit("")))).orderBy("ordinal")
 
 
 def routable_posts(posts: DataFrame) -> DataFrame:

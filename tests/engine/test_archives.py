@@ -26,6 +26,7 @@ def test_rows_of_archives(spark, tmp_path):
     posts = archives.table_of(rows, "Posts")
     assert posts.count() == 5000 and posts.where("Title = 't&17'").first()["Id"] == "17"
     assert archives.table_of(rows, "Comments").first()["Text"] == "η"
+    assert archives.archive_rows(spark, f"{tmp_path}/*", streamed=False).count() == rows.count() == 5001
     name = posts.first()["archive"]
     done = spark.createDataFrame([(name, "Posts", 4990)], "archive string, table string, ordinal bigint")
     assert archives.resumed(rows, done).count() == 11

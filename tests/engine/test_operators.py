@@ -221,6 +221,14 @@ def test_dump_scan_and_routing(spark, tmp_path):
     assert [(r["id"], r["qid"], r["kind"]) for r in posts] == [(1, 1, 1), (11, 1, 2)] and posts[0]["Title"] == "Help & more"
     assert tables.dump_table(spark, found["Comments"], "Comments").first()["Text"] == "η"
     assert tables.without_declarations(spark, found["Posts"])
+    assert tables.right_root(spark, found["Posts"], "Posts") and not tables.right_root(spark, found["Comments"], "Posts")
+    late = tmp_path / "Late.xml"
+    late.write_text("<posts>\n" + '<row Id="1"/>\n' * 50 + '<!ENTITY x "y">\n</posts>')
+    assert not tables.without_declarations(spark, str(late))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(tables, "MOST_ROW_CHARS", 3)
+        with pytest.raises(Exception, match="larger than 4 MiB"):
+            tables.dump_table(spark, found["Posts"], "Posts").collect()
     (tmp_path / "Comments.xml").unlink()
     with pytest.raises(FileNotFoundError):
         tables.inventory(spark, str(tmp_path))
@@ -230,6 +238,9 @@ def test_manifest_and_failures(spark):
     rows = [("a.example", "https://archive.org/x.7z", None, None), ("a.example", None, None, None), ("b.example", "http://evil.test/x", None, None), ("c.example", "https://archive.org/x", None, "00")]
     got = tables.valid_sites(spark.createDataFrame(rows, "site string, archive string, files array<string>, sha256 string")).collect()
     assert [r["error"] for r in got] == [None, "one of archive and files", "host", "sha256"]
+    catalog = spark.createDataFrame([(2, "r1", "b.example", " ", ["https://archive.org/b"], None), (1, "r1", "a.example", "https://archive.org/a", None, None), (0, "r2", "c.example", "https://archive.org/c", None, None)], "ordinal int, release string, site string, archive string, files array<string>, sha256 string")
+    assert [(r["site"], r["error"]) for r in tables.manifest_of(catalog, "r1").collect()] == [("a.example", None), ("b.example", None)]
+    assert tables.manifest_of(catalog, "r1", ["b.example"]).count() == 1
     raw = spark.createDataFrame([(" q ", "k", None, 9), ("r", None, -3, 0)], "query string, victim_key string, count int, severity int")
     got = tables.failure_rows(raw).collect()
     assert [(r["query"], r["target_key"], r["count"], r["severity"]) for r in got] == [("q", "k", 1, 5), ("r", None, 1, 1)]
@@ -398,6 +409,25 @@ def test_streamed_run_state_resumes(spark, tmp_path):
     run()
     last = spark.read.parquet(sink).orderBy(F.col("updated").desc()).first()
     assert (last["status"], last["observed"], last["committed"], last["total"], last["warnings"]) == ("complete", 9, 9, 10, 1)
+    assert last["log"] == ["1.000 phase", "2.000 warning", "3.000 complete"] and (last["rate"], last["eta"]) == (4.5, pytest.approx(1 / 4.5))
+
+
+def test_streamed_throttle_goes_on_between_batches(spark, tmp_path):
+    folder, checkpoint, sink = tmp_path / "events", str(tmp_path / "cp"), str(tmp_path / "out")
+    folder.mkdir()
+    for name, times in (("a.json", (0.0, 0.1, 0.5)), ("b.json", (0.6, 0.95, 1.0))):
+        (folder / name).write_text("\n".join(json.dumps({"event": "network", "site": "s", "phase": "p", "bytes": 10, "at": t}) for t in times))
+        q = journal.throttled(journal.event_stream(spark, str(folder))).writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(journal.append_once(sink)).trigger(availableNow=True).start()
+        q.awaitTermination()
+    got = [(r["at"], r["bytes"], r["merged"]) for r in spark.read.parquet(sink).orderBy("at").collect()]
+    assert got == [(0.0, 10, 1), (0.5, 20, 2), (0.95, 20, 2)]
+
+
+def test_throttled_batch(spark):
+    rows = [("a", t, k, 1.0) for k, t in enumerate((0.0, 0.3, 0.41, 0.8, 0.82, 5.0, 5.1))] + [("b", 9.0, 9, None)]
+    df = spark.createDataFrame(rows, "k string, t double, id int, v double").withColumn("ts", F.timestamp_seconds("t"))
+    got = sorted((r["k"], r["id"], r["v"], r["merged"]) for r in state.throttled(df, ["k"], "ts", "id", "v").collect())
+    assert got == [("a", 0, 1.0, 1), ("a", 2, 2.0, 2), ("a", 4, 2.0, 2), ("a", 5, 1.0, 1), ("a", 6, 1.0, 1), ("b", 9, 0.0, 1)]
 
 
 def test_results_do_not_depend_on_partitions(spark, sf_dir):
