@@ -40,7 +40,7 @@ BLOCK_BYTES = 6 << 20
 #: Most blocks, or nodes, that a node takes keys from, and most key ranges that it sends to.
 FAN = 512
 #: Bins of EM's histogram per factor of two, and buckets of the context count (by powers of two).
-BINS = 8
+BINS = 4
 BUCKETS = 40
 EM_STEPS = 60
 END = U64(0x2545F4914F6CDD1D)
@@ -328,7 +328,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     counted = dealt.groupBy("block").cogroup(replies.groupBy("g")).applyInArrow(_counted(arrow_kind), _COUNTED.format(kind))
     counted = stored(counted, "lm-counts")
     facts = counted.where(F.col("kind") == 2).agg(F.coalesce(F.sum("bin"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("n"), F.lit(0)).alias("kinds")).first()
-    histogram = counted.where(F.col("kind") == 1).groupBy("bin").agg(*[F.sum(c).alias(c) for c in ("n", "bigram", "unigram")]).orderBy("bin").toArrow()
+    histogram = counted.where(F.col("kind") == 1).groupBy("bin").agg(*[F.sum(c).alias(c) for c in ("n", "bigram", "unigram")]).toArrow().sort_by("bin")
     code, n, bigram, unigram = (histogram.column(c).to_numpy().astype(kind) for c, kind in (("bin", np.int64), ("n", float), ("bigram", float), ("unigram", float)))
     tokens, kinds = facts["tokens"], facts["kinds"]
     model = Model(tokens, kinds, learn_weights(code, n, bigram, unigram, tokens, kinds))
