@@ -311,6 +311,8 @@ def test_result_order_and_addresses(spark):
     got = {r["u"] for r in df.select(search.result_url(F.col("site"), F.col("qid"), F.col("kind"), F.col("role"), F.col("id"), F.col("post_id")).alias("u")).collect()}
     assert got == {"https://b.example/questions/1", "https://a.example/questions/1", "https://a.example/questions/2#comment20_2", "https://a.example/questions/3#30"}
     assert [r["qid"] for r in search.legacy_order(df.drop("relevance"), 2).collect()] == [3, 2]
+    texts = spark.createDataFrame([("⇝",), ("see u+0021dd.",), ("U+21DDA",), ("xU+21DD",)], "t string")
+    assert [r[0] for r in texts.select(search.legacy_character_filter(F.col("t"), "⇝")).collect()] == [True, True, False, False]
 
 
 def test_search_scopes_and_page_bounds(spark):
