@@ -332,3 +332,30 @@ def verification_errors(rows: DataFrame, verdicts: tuple[str, ...]) -> DataFrame
             (F.exists(reviews, lambda r: _bad_text(r["reason"], 300)), "a reason is no text of 300"),
         ),
     )
+
+
+#: What a grounded output must hold.
+ANCHOR_SLOTS, CLEAR, GROUNDING_RENDERS = ("overall_form", "distinctive_feature"), "clear", 2
+_GROUNDING = (
+    "struct<adaptive_generation:struct<render_status:string>,recovery:struct<passed:boolean,picked_entity_id:string,expected_entity_id:string>,"
+    "renders:array<struct<validation:struct<ink_hash:string>>>,accepted_claims:array<struct<evidence:struct<slot:string,vendor_support:map<string,bigint>>>>>"
+)
+
+
+def grounding_passes(output: Column, vendors: tuple[str, ...] = ("noto", "platform")) -> Column:
+    """Does the JSON output of a grounding meet the gate: a clear generation, a recovery that picked what was expected, two
+    renders with ink, and an accepted claim on form that every vendor supports?"""
+    o = F.from_json(output, _GROUNDING)
+    hashed = F.filter(o["renders"], lambda r: F.coalesce(r["validation"]["ink_hash"], F.lit("")) != "")
+    told = lambda k: k["evidence"]["slot"].isin(*ANCHOR_SLOTS) & F.forall(F.array(*[F.lit(v) for v in vendors]), lambda v: F.coalesce(k["evidence"]["vendor_support"][v], F.lit(0)) >= 1)
+    recovery = o["recovery"]
+    same = F.coalesce(recovery["picked_entity_id"], F.lit("")) == F.coalesce(recovery["expected_entity_id"], F.lit(""))
+    holds = (o["adaptive_generation"]["render_status"] == CLEAR) & recovery["passed"] & same & (F.size(o["renders"]) == GROUNDING_RENDERS) & (F.size(hashed) == GROUNDING_RENDERS) & F.exists(o["accepted_claims"], told)
+    return F.coalesce(holds, F.lit(False))
+
+
+def regated(checkpoints: DataFrame, stage: str, version: str) -> DataFrame:
+    """Passed groundings of a version whose output (JSON) does not meet the gate are quarantined."""
+    failing = (F.col("stage") == stage) & (F.col("version") == version) & (F.col("status") == "passed") & ~grounding_passes(F.col("output"))
+    gate = F.lit("compatibility quarantine: adaptive two-call gate not met")
+    return checkpoints.withColumns({"error": F.when(failing, gate).otherwise(F.col("error")), "status": F.when(failing, "quarantined").otherwise(F.col("status"))})

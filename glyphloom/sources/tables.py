@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -158,6 +160,29 @@ def export_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").json(path)
 
 
+def export_framed(rows: DataFrame, path: str, header: dict, by: str, source: str) -> DataFrame:
+    """Publish rows between a header and a trailer, each a JSON line in a folder of its own; the trailer, which is the result.
+
+    The trailer counts what stands in the written rows, by ``by``, and comes last: an export without one is not complete.
+    """
+    spark = rows.sparkSession
+    export_jsonl(spark.createDataFrame([("manifest", json.dumps({**header, "export_complete": False}, sort_keys=True, ensure_ascii=False))], "type string, header string").coalesce(1), f"{path}/header")
+    export_jsonl(rows, f"{path}/rows")
+    counts = spark.read.schema(rows.schema).json(f"{path}/rows").groupBy(F.col(by).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    named = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("k", F.lit("")), "n"))))
+    trailer = counts.agg(F.lit("summary").alias("type"), F.coalesce(F.sum("n"), F.lit(0)).alias("items"), named.alias(f"{by}s"), F.lit(True).alias("export_complete"), F.lit(source).alias("denominator"))
+    export_jsonl(trailer.coalesce(1), f"{path}/trailer")
+    return spark.read.schema(trailer.schema).json(f"{path}/trailer")
+
+
+def export_valid(rows: DataFrame, path: str, errors: str = "errors") -> DataFrame:
+    """Publish rows without errors as ``records`` and the others, with theirs, as ``excluded``; the manifest of both."""
+    spark = rows.sparkSession
+    export_jsonl(rows.where(F.size(errors) == 0).drop(errors), f"{path}/records")
+    export_jsonl(rows.where(F.size(errors) > 0), f"{path}/excluded")
+    return artifact_manifest(spark, {name: f"{path}/{name}" for name in ("records", "excluded")})
+
+
 def artifact_manifest(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """(artifact, files, bytes, sha256) of written artifacts; the digest is over the sorted digests of the parts."""
     out = None

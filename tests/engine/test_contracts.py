@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +188,25 @@ def test_votes(spark):
     assert found == {1: [], 2: ["every claim is reviewed once", "unknown verdict"]}
 
 
+def grounding(**changed):
+    own = {
+        "adaptive_generation": {"render_status": "clear"}, "recovery": {"passed": True, "picked_entity_id": "e", "expected_entity_id": "e"}, "renders": [{"validation": {"ink_hash": h}} for h in "ab"],
+        "accepted_claims": [{"evidence": {"slot": "use", "vendor_support": {}}}, {"evidence": {"slot": "overall_form", "vendor_support": {"noto": 1, "platform": 2}}}],
+    }
+    return json.dumps(own | changed)
+
+
+def test_grounding_gate(spark):
+    broken = [
+        {"adaptive_generation": {"render_status": "blurred"}}, {"adaptive_generation": None}, {"recovery": {"passed": False}}, {"recovery": {"passed": True, "picked_entity_id": "f", "expected_entity_id": "e"}},
+        {"renders": [{"validation": {"ink_hash": "a"}}]}, {"renders": [{"validation": {"ink_hash": "a"}}, {}]}, {"accepted_claims": []}, {"accepted_claims": [{"evidence": {"slot": "overall_form", "vendor_support": {"noto": 1}}}]},
+    ]
+    outputs = [grounding(), *(grounding(**b) for b in broken), None, "no json"]
+    rows = spark.createDataFrame([(k, "ground", "v", "passed", o, None) for k, o in enumerate(outputs)] + [(99, "ground", "old", "passed", None, None)], "k int, stage string, version string, status string, output string, error string")
+    got = {r["k"]: r["status"] for r in contracts.regated(rows, "ground", "v").collect()}
+    assert got == {0: "passed", 99: "passed"} | {k: "quarantined" for k in range(1, len(outputs))}
+
+
 def test_wording(spark):
     row = spark.range(1).select(*[contracts.wording_warnings(F.lit("p"), F.lit("Both renders show it."), F.array(*map(F.lit, a)), F.array(F.lit("h"), F.lit("i"))).alias(str(k)) for k, a in enumerate(([1], [1, 2]))]).first()
     assert row["0"] == "p speaks of several renders" and row["1"] is None

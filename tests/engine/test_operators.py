@@ -257,6 +257,19 @@ def test_exports_and_manifests(spark, tmp_path):
     assert lines[0] == "INSERT INTO t (k, v) VALUES ('1', 'it''s') ON CONFLICT (k) DO UPDATE SET v = excluded.v;" and "NULL" in lines[1]
 
 
+def test_framed_exports_and_exclusions(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "identity"), (2, "noise"), (3, "noise"), (4, None)], "id int, lane string").repartition(3)
+    trailer = tables.export_framed(rows, f"{tmp_path}/x", {"version": "v1"}, "lane", "all of them").first()
+    assert (trailer["items"], trailer["lanes"], trailer["export_complete"]) == (4, {"": 1, "identity": 1, "noise": 2}, True)
+    header = json.loads(spark.read.json(f"{tmp_path}/x/header").first()["header"])
+    assert header == {"version": "v1", "export_complete": False} and spark.read.json(f"{tmp_path}/x/rows").count() == 4
+    with pytest.raises(Exception, match="already exists"):
+        tables.export_framed(rows, f"{tmp_path}/x", {}, "lane", "s")
+    checked = spark.createDataFrame([(1, []), (2, ["bad"])], "id int, errors array<string>")
+    got = {r["artifact"]: r["files"] for r in tables.export_valid(checked.coalesce(1), f"{tmp_path}/y").collect()}
+    assert set(got) == {"records", "excluded"} and [r["id"] for r in spark.read.json(f"{tmp_path}/y/excluded").collect()] == [2]
+
+
 def test_unicode_files(spark):
     lines = spark.createDataFrame([("# c",), ("0000..007F; Basic Latin",), ("2190; One # x",), ("",)], "value string")
     assert [tuple(r) for r in tables.unicode_ranges(lines).collect()] == [(0, 127, "Basic Latin"), (0x2190, 0x2190, "One")]
