@@ -95,6 +95,11 @@ def unique_visual(entities: DataFrame, key: str, visual: str, order: str) -> Dat
 
 
 def visual_key(hex_sequence: Column, mode: Column) -> Column:
-    """Render mode and code points without presentation selectors."""
-    kept = F.filter(F.split(F.lower(hex_sequence), "[- ]"), lambda h: ~h.isin("fe0e", "fe0f"))
-    return F.concat_ws(":", mode, F.array_join(kept, "-"))
+    """Render mode and code points without presentation selectors; of selectors alone the first stays.
+
+    No sequence, no key; a mode that is null counts as standalone.
+    """
+    codes = F.split(F.lower(hex_sequence), "[- ]")
+    selector = lambda h: h.isin("fe0e", "fe0f")
+    kept = F.filter(codes, lambda h, k: ~selector(h) | ((k == 0) & F.forall(codes, selector)))
+    return F.concat(F.coalesce(mode, F.lit("standalone")), F.lit(":"), F.array_join(kept, "-"))

@@ -365,6 +365,13 @@ def test_selection(spark):
     assert got[0]["selection_score"] == 9000 + 1_020_000 + 20_000 + 500 + 150
 
 
+def test_visual_keys_keep_a_selector_that_stands_alone(spark):
+    rows = [(1, "2764 FE0F 200D 1F525", "standalone"), (2, "25B6-FE0E", "combining"), (3, "FE0F", "standalone"), (4, "FE0E-FE0F", "standalone"), (5, "FE0F-1F5B1", "standalone"), (6, "1FE0F-FE0F", None), (7, None, "standalone")]
+    df = spark.createDataFrame(rows, "id int, hex string, mode string")
+    got = {r["id"]: r["k"] for r in df.select("id", selection.visual_key(F.col("hex"), F.col("mode")).alias("k")).collect()}
+    assert got == {1: "standalone:2764-200d-1f525", 2: "combining:25b6", 3: "standalone:fe0f", 4: "standalone:fe0e", 5: "standalone:1f5b1", 6: "standalone:1fe0f", 7: None}
+
+
 def test_checkpoint_replay(spark):
     ev = spark.createDataFrame([("e", "begin", 1), ("e", "transport", 2), ("e", "begin", 3), ("e", "progress", 4), ("f", "begin", 1), ("f", "finish", 2)], "id string, event string, n int")
     got = {r["id"]: (r["status"], r["attempts"], r["operational_failures"]) for r in state.replayed(ev, ["id"], ["n"]).collect()}

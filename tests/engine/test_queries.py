@@ -45,6 +45,16 @@ def test_query(spark, duck, sf_dir, name):
         assert got == rows_of(found.columns, found.fetchall())
 
 
+def test_visual_keys_of_selectors_and_nulls(spark, tmp_path):
+    rows = [(65038, 3), (65039, 3), (65039, 4), (65037, 5), (0, 6), (-1, -3), (10, None), (None, 3), (None, 4), (2**40, 50)]
+    spark.createDataFrame(rows, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = [tuple(r) for r in queries()["visual_keys"](spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert rows_of(["p_partkey", "visual"], got) == rows_of(["p_partkey", "visual"], con.sql(oracle_sql()["visual_keys"]).fetchall())
+    assert {(65038, "combining:fe0e"), (65039, "combining:fe0f"), (65039, "standalone:fe0f"), (None, None)} <= set(got)
+
+
 def test_llm_is_optional_for_the_rest():
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     for folder, _, names in os.walk(os.path.join(root, "glyphloom")):
